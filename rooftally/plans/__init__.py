@@ -1,4 +1,4 @@
 from .nightly import NightlyResult, NightlyStages, nightly_stages, run_nightly
-from .rawview import raw_listings, raw_sources
+from .rawview import raw_feed, raw_listings, raw_sources
 
-__all__ = ["NightlyResult", "NightlyStages", "nightly_stages", "run_nightly", "raw_listings", "raw_sources"]
+__all__ = ["NightlyResult", "NightlyStages", "nightly_stages", "run_nightly", "raw_feed", "raw_listings", "raw_sources"]

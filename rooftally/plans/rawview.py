@@ -68,3 +68,9 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         with_sequence(rows.where(F.col("source") == source), rank, "seq")
         for rank, source in enumerate(SOURCES)
     ]
+
+
+def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows and order as the union of :func:`raw_sources`, in one scan."""
+    second = (F.col("source") == SOURCES[1]).cast("int")
+    return with_sequence(raw_listings(spark, sf_dir), second, "seq")

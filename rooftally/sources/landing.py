@@ -22,9 +22,10 @@ BRONZE = T.StructType(
 )
 
 
-def _sequence(rank: int, file: Column, block: Column, row: Column) -> Column:
+def sequence_column(rank: int | Column, file: Column, block: Column, row: Column) -> Column:
+    rank = F.lit(rank) if isinstance(rank, int) else rank
     return F.struct(
-        F.lit(rank).alias("source_rank"),
+        rank.cast("int").alias("source_rank"),
         file.alias("file"),
         block.cast("bigint").alias("block"),
         row.cast("bigint").alias("row"),
@@ -48,7 +49,7 @@ def scan_json(spark: SparkSession, path: str | list[str], rank: int, source: str
     ``source`` tags the rows; without it the records' own ``source`` is used.
     """
     lines = spark.read.schema(BRONZE).option("columnNameOfCorruptRecord", MALFORMED_COLUMN).json(path)
-    order = _sequence(
+    order = sequence_column(
         rank, F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
     )
     return _tagged(lines, source, order)
@@ -61,12 +62,15 @@ def scan_table(
     rows = spark.read.format(format).load(path)
     index = F.col("_metadata.row_index") if format == "parquet" else F.monotonically_increasing_id()
     block = F.lit(0) if format == "parquet" else F.col("_metadata.file_block_start")
-    return _tagged(rows, source, _sequence(rank, F.col("_metadata.file_path"), block, index))
+    return _tagged(rows, source, sequence_column(rank, F.col("_metadata.file_path"), block, index))
 
 
-def with_sequence(df: DataFrame, rank: int, row: str, source: str | None = None) -> DataFrame:
-    """Rows that carry their own ingest sequence in column ``row`` (dropped)."""
-    order = _sequence(rank, F.lit(""), F.lit(0), F.col(row))
+def with_sequence(df: DataFrame, rank: int | Column, row: str, source: str | None = None) -> DataFrame:
+    """Rows that carry their own ingest sequence in column ``row`` (dropped).
+
+    Several sources in one table are ordered by giving ``rank`` as a column.
+    """
+    order = sequence_column(rank, F.lit(""), F.lit(0), F.col(row))
     return _tagged(df, source, order).drop(row)
 
 
