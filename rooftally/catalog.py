@@ -27,17 +27,15 @@ from .schema import ERROR_COLUMN, LISTING_COLUMNS, RAW_COLUMN, SEQ_COLUMN, SOURC
 from .sinks.documents import load_documents
 from .sinks.warehouse import append_to_warehouse
 from .sources.landing import ordered_union, scan_json, scan_table, source_counts
+from .session import spread, tune
 from .staging import run_folder
 from .streaming.incremental import run_available
+from .tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _RUN = "nightly"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _normalized(spark: SparkSession, sf_dir: str) -> Normalized:
     return normalize(raw_feed(spark, sf_dir))
 
@@ -101,7 +99,7 @@ def text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
+    documents = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return documents.select("doc_id", clean_text(cell_of(documents, "text")).alias("text"))
 
 
@@ -132,7 +130,7 @@ def count_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _keyword_rows(table: str, *ids: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _table(spark, sf_dir, table)
+        rows = spread(read_table(spark, sf_dir, table).select(*ids, "text"), *ids)
         lowered = rows.select(*ids, F.lower("text").alias("_lowered"))
         return lowered.select(*ids, keyword_hit(F.col("_lowered")).alias("keyword")).where("keyword IS NOT NULL")
     return query
@@ -168,13 +166,13 @@ def price_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _outlier_rows(table: str, value: str, by: str, *ids: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _table(spark, sf_dir, table).select(*ids, by, value)
+        rows = read_table(spark, sf_dir, table).select(*ids, by, value)
         return tag_outliers(rows, value, by).where("is_outlier").select(*ids, by, value)
     return query
 
 
 def event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = sigma_stats(_table(spark, sf_dir, "events"), "value", "event_type")
+    stats = sigma_stats(read_table(spark, sf_dir, "events"), "value", "event_type")
     return _rounded(sigma_thresholds(stats), "mu", "sigma", "threshold")
 
 
@@ -198,7 +196,7 @@ def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Identity and deduplication
 
 def price_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
+    orders = read_table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", price_bucket(F.col("o_totalprice")).alias("bucket"))
 
 
@@ -220,7 +218,7 @@ def count_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").withColumn("digest", F.md5(F.col("text").cast("binary")))
+    return read_table(spark, sf_dir, "documents").withColumn("digest", F.md5(F.col("text").cast("binary")))
 
 
 def unique_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +307,7 @@ def _analyst(sql: str) -> Query:
     return query
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "raw_union": raw_union,
     "source_counts": count_sources,
     "json_landing_listings": json_landing_listings,
@@ -334,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "sigma_outliers": price_outliers,
     "sigma_events": _outlier_rows("events", "value", "event_type", "event_id"),
     "sigma_event_thresholds": event_stats,
+    "sigma_event_users": _outlier_rows("events", "value", "user_id", "event_id"),
     "sigma_lineitem_parts": _outlier_rows("lineitem", "l_extendedprice", "l_partkey", "l_orderkey", "l_linenumber"),
     "valid_listings": valid_listings,
     "rejected_listings": rejected_listings,
@@ -360,3 +359,12 @@ QUERIES: dict[str, Query] = {
     "analyst_dearest_per_city": _analyst(DEAREST_PER_CITY),
     "analyst_city_share": _analyst(CITY_SHARE),
 }
+
+
+def _tuned(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(tune(spark), sf_dir)
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _tuned(query) for name, query in _QUERIES.items()}

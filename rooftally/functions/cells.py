@@ -2,8 +2,7 @@
 
 Landing JSON is read with VARIANT fields, so a field may hold text, a number, a
 boolean, a nested value, JSON null, or be absent. Typed tables hold one kind.
-Cleaning rules are written once against :class:`Cell` and work on both; for
-typed columns the unused kinds are null literals that Catalyst folds away.
+Cleaning rules are written once against :class:`Cell` and work on both.
 
 Numbers never pass through Spark's double-to-string cast: ``25000000.0`` would
 become ``2.5E7`` and lose its exponent when digits are filtered.
@@ -11,6 +10,7 @@ become ``2.5E7`` and lose its exponent when digits are filtered.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,26 +22,33 @@ from .pytext import float_text
 
 @dataclass(frozen=True)
 class Cell:
-    present: Column   # key exists (JSON null counts as present)
-    text: Column      # STRING, when the value is text
-    number: Column    # DOUBLE, when the value is a number
-    literal: Column   # STRING spelling of that number
-    flag: Column      # BOOLEAN, when the value is a boolean
-    nested: Column    # JSON text, when the value is an array or object
+    """A field's value by kind; ``None`` for kinds its column cannot hold."""
 
-
-def _null(kind: str) -> Column:
-    return F.lit(None).cast(kind)
+    present: Column | None = None   # key exists (JSON null counts as present)
+    text: Column | None = None      # STRING, when the value is text
+    number: Column | None = None    # DOUBLE, when the value is a number
+    flag: Column | None = None      # BOOLEAN, when the value is a boolean
+    nested: Column | None = None    # JSON text, when the value is an array or object
+    literal: Column | None = None   # STRING spelling of a number, date or timestamp
 
 
 def missing_cell() -> Cell:
-    return Cell(F.lit(False), _null("string"), _null("double"), _null("string"), _null("boolean"), _null("string"))
+    return Cell()
+
+
+def by_kind(cell: Cell, default: object, **rules: Callable[[Column], Column]) -> Column:
+    """The rule for the kind of value at hand; ``default`` when there is none (null or absent)."""
+    branches = [(getattr(cell, kind), rule) for kind, rule in rules.items() if getattr(cell, kind) is not None]
+    result = F.lit(default)
+    for value, rule in reversed(branches):
+        result = F.when(value.isNotNull(), rule(value)).otherwise(result)
+    return result
 
 
 def with_kinds(df: DataFrame) -> DataFrame:
     """``df`` plus a column per VARIANT field naming its kind, so it is worked out once."""
     dirty = [f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
-    return df.select("*", *[F.schema_of_variant(F.col(name)).alias(f"_kind_{name}") for name in dirty])
+    return df.select("*", *[F.schema_of_variant(name).alias(f"_kind_{name}") for name in dirty]) if dirty else df
 
 
 def _variant_cell(value: Column, kind: Column) -> Cell:
@@ -52,9 +59,9 @@ def _variant_cell(value: Column, kind: Column) -> Cell:
         present=value.isNotNull(),
         text=F.when(kind == "STRING", F.try_variant_get(value, "$", "string")),
         number=number,
-        literal=F.when(whole, F.try_variant_get(value, "$", "string")).otherwise(float_text(number)),
         flag=F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
         nested=F.when(kind.rlike("^(?:ARRAY|OBJECT)"), F.to_json(value)),
+        literal=F.when(whole, F.try_variant_get(value, "$", "string")).otherwise(float_text(number)),
     )
 
 
@@ -66,19 +73,15 @@ def cell_of(df: DataFrame, name: str) -> Cell:
     if isinstance(kind, T.VariantType):
         known = f"_kind_{name}" in df.columns
         return _variant_cell(value, F.col(f"_kind_{name}") if known else F.schema_of_variant(value))
-    empty = missing_cell()
-    parts = {"text": empty.text, "number": empty.number, "literal": empty.literal,
-             "flag": empty.flag, "nested": empty.nested}
+    present = value.isNotNull()
     if isinstance(kind, T.StringType):
-        parts["text"] = value
-    elif isinstance(kind, (T.FloatType, T.DoubleType)):
-        parts.update(number=value.cast("double"), literal=float_text(value.cast("double")))
-    elif isinstance(kind, T.NumericType):
-        parts.update(number=value.cast("double"), literal=value.cast("string"))
-    elif isinstance(kind, T.BooleanType):
-        parts["flag"] = value
-    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
-        parts["nested"] = F.to_json(value)
-    else:  # dates and timestamps: only their spelling is ever used
-        parts["literal"] = value.cast("string")
-    return Cell(present=value.isNotNull(), **parts)
+        return Cell(present, text=value)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return Cell(present, number=value.cast("double"), literal=float_text(value.cast("double")))
+    if isinstance(kind, T.NumericType):
+        return Cell(present, number=value.cast("double"), literal=value.cast("string"))
+    if isinstance(kind, T.BooleanType):
+        return Cell(present, flag=value)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return Cell(present, nested=F.to_json(value))
+    return Cell(present, literal=value.cast("string"))  # dates and timestamps

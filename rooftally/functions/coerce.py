@@ -6,12 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import pytext
-from .cells import Cell
+from .cells import Cell, by_kind
 
-_INFINITY = float("inf")
 
-
-def _digits_as_price(text: Column) -> Column:
+def _digits(text: Column) -> Column:
+    """The number spelled by the digits and dots of a text."""
     return F.regexp_replace(pytext.ascii_digits(text), r"[^0-9.]", "").try_cast("double")
 
 
@@ -21,57 +20,61 @@ def clean_price(cell: Cell) -> Column:
     The sign and thousands separators go with the other characters, so numbers
     are taken by absolute value.
     """
-    finite = ~F.isnan(cell.number) & (F.abs(cell.number) < _INFINITY)
-    parsed = (
-        F.when(cell.text.isNotNull(), _digits_as_price(cell.text))
-        .when(cell.number.isNotNull(), F.when(finite, F.abs(cell.number)))
-        .when(cell.nested.isNotNull(), _digits_as_price(cell.nested))
+    parsed = by_kind(
+        cell, 0.0,
+        text=_digits,
+        number=lambda n: F.when(F.abs(n) < float("inf"), F.abs(n)),
+        nested=_digits,
     )
     return F.coalesce(parsed, F.lit(0.0))
 
 
 def clean_rooms(cell: Cell) -> Column:
     """A number whose decimal mark may be a comma; anything unusable is 0."""
-    parsed = F.when(
-        cell.text.isNotNull(), pytext.parse_float(F.replace(cell.text, F.lit(","), F.lit(".")))
-    ).otherwise(cell.number)
+    parsed = by_kind(
+        cell, 0.0,
+        text=lambda t: pytext.parse_float(F.replace(t, F.lit(","), F.lit("."))),
+        number=lambda n: n,
+    )
     return F.coalesce(parsed, F.lit(0.0))
 
 
 def clean_text(cell: Cell) -> Column:
     """Collapse whitespace runs and strip; a value that is not text becomes empty."""
+    if cell.text is None:
+        return F.lit("")
     return F.coalesce(pytext.strip(pytext.collapse_runs(cell.text)), F.lit(""))
 
 
+def _empty_as(value: object):
+    """An empty array or object counts as empty; any other nested value is an error."""
+    return lambda nested: F.when(nested.isin("[]", "{}"), value)
+
+
 def clean_floor(cell: Cell) -> Column:
     """Whole floor number, 0 when empty; null marks a value that is not one."""
-    return (
-        F.when(cell.text == "", 0)
-        .when(cell.text.isNotNull(), pytext.parse_integer(cell.text))
-        .when(cell.number.isNotNull(), cell.number.try_cast("int"))
-        .when(cell.flag.isNotNull(), cell.flag.cast("int"))
-        .when(cell.nested.isNotNull(), F.when(cell.nested.isin("[]", "{}"), 0))
-        .otherwise(0)
+    return by_kind(
+        cell, 0,
+        text=lambda t: F.when(t == "", 0).otherwise(pytext.parse_integer(t)),
+        number=lambda n: n.try_cast("int"),
+        flag=lambda f: f.cast("int"),
+        nested=_empty_as(0),
     )
 
 
 def clean_size(cell: Cell) -> Column:
     """Size as a number, 0 when empty; null marks a value that is not one."""
-    return (
-        F.when(cell.text == "", F.lit(0.0))
-        .when(cell.text.isNotNull(), pytext.parse_float(cell.text))
-        .when(cell.number.isNotNull(), cell.number)
-        .when(cell.flag.isNotNull(), cell.flag.cast("double"))
-        .when(cell.nested.isNotNull(), F.when(cell.nested.isin("[]", "{}"), F.lit(0.0)))
-        .otherwise(F.lit(0.0))
+    return by_kind(
+        cell, 0.0,
+        text=lambda t: F.when(t == "", 0.0).otherwise(pytext.parse_float(t)),
+        number=lambda n: n,
+        flag=lambda f: f.cast("double"),
+        nested=_empty_as(0.0),
     )
 
 
 def scalar_text(cell: Cell) -> Column:
     """The value spelled out; null when it is null or absent."""
-    return F.coalesce(
-        cell.text,
-        cell.literal,
-        F.when(cell.flag, "True").when(~cell.flag, "False"),
-        cell.nested,
-    )
+    flag = None if cell.flag is None else F.initcap(cell.flag.cast("string"))
+    spelled = [part for part in (cell.text, cell.literal, flag, cell.nested) if part is not None]
+    return F.coalesce(*spelled) if spelled else F.lit(None).cast("string")

@@ -14,8 +14,9 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's Unicode whitespace, as the inside of a regex character class.
+# Python's Unicode whitespace: as the inside of a regex character class, and spelled out.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
+_WHITESPACE_CHARACTERS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 # Python's float and int literals between optional whitespace; group 1 is the literal.
 _FLOAT = (
@@ -47,7 +48,7 @@ def ascii_digits(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(text, F.lit(_WHITESPACE_CHARACTERS))
 
 
 def collapse_runs(text: Column) -> Column:

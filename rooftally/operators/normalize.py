@@ -36,6 +36,10 @@ def _cleaned(df: DataFrame, name: str) -> Column:
     return F.coalesce(scalar_text(cell), F.lit(""))
 
 
+def _has_key(df: DataFrame, key: str) -> Column:
+    return F.col(key).isNotNull() if key in df.columns else F.lit(False)
+
+
 def _error(df: DataFrame) -> Column:
     """First thing wrong with the record, from the raw keys and the cleaned values."""
     checks = []
@@ -69,7 +73,7 @@ def tag_normalized(df: DataFrame) -> DataFrame:
     cleaned = dirty.select(
         *[_cleaned(dirty, name).alias(name) for name in LISTING_COLUMNS],
         *carried, *line,
-        *[cell_of(dirty, key).present.alias(f"_has_{key}") for key in REQUIRED_KEYS],
+        *[_has_key(dirty, key).alias(f"_has_{key}") for key in REQUIRED_KEYS],
         *[F.col(name).alias(f"_in_{name}") for name in fields],
     )
     flagged = cleaned.withColumn(ERROR_COLUMN, _error(cleaned))

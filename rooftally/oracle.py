@@ -158,6 +158,7 @@ ORACLE: dict[str, str] = {
     "sigma_event_thresholds": "SELECT event_type, count(value) AS n, round(avg(value), 4) AS mu, "
                               "round(stddev_pop(value), 4) AS sigma, round(3 * stddev_pop(value), 4) AS threshold "
                               "FROM events GROUP BY event_type",
+    "sigma_event_users": _outliers("events", "value", "user_id", "event_id"),
     "sigma_lineitem_parts": _outliers("lineitem", "l_extendedprice", "l_partkey", "l_orderkey, l_linenumber"),
     "valid_listings": _after("judged", f"SELECT {_LISTING} FROM judged WHERE reason IS NULL"),
     "rejected_listings": _after("judged", f"SELECT {_LISTING}, reason FROM judged WHERE reason IS NOT NULL"),

@@ -11,53 +11,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import DEAL_TYPES, SOURCES
+from ..session import spread
 from ..sources.landing import with_sequence
+from ..tables import read_table
 
 
-def _every(n: int):
-    return F.col("o_orderkey") % n == 0
+_SALE, _RENT = DEAL_TYPES
+
+_AMOUNT = """
+  CASE WHEN o_orderkey % 89 = 0 THEN 50L WHEN o_orderkey % 41 = 0 THEN base * 10 ELSE base END
+"""
+
+_COLUMNS = (
+    "o_orderkey AS seq",
+    "concat('L', o_orderkey) AS id",
+    f"if(o_orderkey % 5 < 3, '{SOURCES[0]}', '{SOURCES[1]}') AS source",
+    "if(o_orderkey % 97 = 0, '   ', concat('  ', r_name, '   ', n_name, ' ')) AS city",
+    "c_mktsegment AS neighborhood",
+    "concat('רחוב  ', o_custkey % 40) AS street",
+    f"if(o_orderkey % 2 = 0, '{_SALE}', '{_RENT}') AS deal_type",
+    "o_orderpriority AS property_type",
+    "concat(1 + o_orderkey % 3, if(o_orderkey % 4 < 2, ',5', '')) AS rooms",
+    """CASE WHEN o_orderkey % 157 = 0 THEN 'abc' WHEN o_orderkey % 19 = 0 THEN ''
+            ELSE string(o_orderkey % 31) END AS floor""",
+    "if(o_orderkey % 163 = 0, '80,5', string(35 + o_orderkey % 246)) AS size_sqm",
+    """CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 0 THEN 'N/A'
+            WHEN amount >= 1000 THEN concat('₪', amount div 1000, ',', lpad(string(amount % 1000), 3, '0'))
+            ELSE concat('₪', amount) END AS price""",
+    """CASE WHEN o_orderkey % 83 = 0 THEN 'This is a TEST  listing'
+            WHEN o_orderkey % 79 = 0 THEN 'מודעת בדיקה' ELSE 'דירה  יפה' END AS description""",
+    "date_format(o_orderdate, 'yyyy-MM-dd') AS scraped_at",
+    "'050-1234567' AS agent_phone",
+)
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw listing per order, all dirty fields as text, ``seq`` numbering them."""
     orders, customer, nation, region = (
-        spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "customer", "nation", "region")
+        read_table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")
     )
-    key, total = F.col("o_orderkey"), F.col("o_totalprice")
-    base = F.floor(F.when(_every(2), F.lit(800000) + total * 10).otherwise(F.lit(3000) + total / 60)).cast("bigint")
-    amount = F.when(_every(89), F.lit(50).cast("bigint")).when(_every(41), base * 10).otherwise(base)
-    thousands = F.concat(
-        F.lit("₪"), F.expr("amount div 1000").cast("string"), F.lit(","),
-        F.lpad((F.col("amount") % 1000).cast("string"), 3, "0"),
+    priced = spread(orders, "o_orderkey").selectExpr(
+        "*", "bigint(floor(if(o_orderkey % 2 = 0, 800000 + o_totalprice * 10, 3000 + o_totalprice / 60))) AS base"
     )
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        priced.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .withColumn("amount", amount)
-        .select(
-            key.alias("seq"),
-            F.concat(F.lit("L"), key.cast("string")).alias("id"),
-            F.when(key % 5 < 3, SOURCES[0]).otherwise(SOURCES[1]).alias("source"),
-            F.when(_every(97), "   ").otherwise(
-                F.concat(F.lit("  "), "r_name", F.lit("   "), "n_name", F.lit(" "))
-            ).alias("city"),
-            F.col("c_mktsegment").alias("neighborhood"),
-            F.concat(F.lit("רחוב  "), (F.col("o_custkey") % 40).cast("string")).alias("street"),
-            F.when(_every(2), DEAL_TYPES[0]).otherwise(DEAL_TYPES[1]).alias("deal_type"),
-            F.col("o_orderpriority").alias("property_type"),
-            F.concat((1 + key % 3).cast("string"), F.when(key % 4 < 2, ",5").otherwise("")).alias("rooms"),
-            F.when(_every(157), "abc").when(_every(19), "").otherwise((key % 31).cast("string")).alias("floor"),
-            F.when(_every(163), "80,5").otherwise((35 + key % 246).cast("string")).alias("size_sqm"),
-            F.when(_every(101), F.lit(None).cast("string"))
-            .when(_every(103), "N/A")
-            .when(F.col("amount") >= 1000, thousands)
-            .otherwise(F.concat(F.lit("₪"), F.col("amount").cast("string"))).alias("price"),
-            F.when(_every(83), "This is a TEST  listing").when(_every(79), "מודעת בדיקה")
-            .otherwise("דירה  יפה").alias("description"),
-            F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("scraped_at"),
-            F.lit("050-1234567").alias("agent_phone"),
-        )
+        .selectExpr("*", f"{_AMOUNT} AS amount")
+        .selectExpr(*_COLUMNS)
     )
 
 
