@@ -45,23 +45,31 @@ def by_kind(cell: Cell, default: object, **rules: Callable[[Column], Column]) ->
     return result
 
 
+def variant_kind(value: Column) -> Column:
+    """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, ARRAY, OBJECT or VOID; null if absent."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
 def with_kinds(df: DataFrame) -> DataFrame:
     """``df`` plus a column per VARIANT field naming its kind, so it is worked out once."""
     dirty = [f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
-    return df.select("*", *[F.schema_of_variant(name).alias(f"_kind_{name}") for name in dirty]) if dirty else df
+    return df.select("*", *[variant_kind(F.col(name)).alias(f"_kind_{name}") for name in dirty]) if dirty else df
 
 
 def _variant_cell(value: Column, kind: Column) -> Cell:
-    number = F.when(kind.rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "double"))
-    # A JSON integer beyond 64 bits arrives as a wide DECIMAL of scale 0; keep its digits.
-    whole = kind.rlike(r"^(?:BIGINT|DECIMAL\((?:19|[23][0-9]),0\))")
+    number = F.when(
+        kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), F.try_variant_get(value, "$", "double")
+    )
+    spelled = F.try_variant_get(value, "$", "string")
+    # A JSON integer beyond 64 bits arrives as a DECIMAL; it keeps its digits too.
+    whole = (kind == "BIGINT") | ((kind == "DECIMAL") & (F.abs(number) >= 2.0**63))
     return Cell(
         present=value.isNotNull(),
-        text=F.when(kind == "STRING", F.try_variant_get(value, "$", "string")),
+        text=F.when(kind == "STRING", spelled),
         number=number,
         flag=F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
-        nested=F.when(kind.rlike("^(?:ARRAY|OBJECT)"), F.to_json(value)),
-        literal=F.when(whole, F.try_variant_get(value, "$", "string")).otherwise(float_text(number)),
+        nested=F.when(kind.isin("ARRAY", "OBJECT"), F.to_json(value)),
+        literal=F.when(whole, spelled).otherwise(float_text(number)),
     )
 
 
@@ -72,7 +80,7 @@ def cell_of(df: DataFrame, name: str) -> Cell:
     value, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, T.VariantType):
         known = f"_kind_{name}" in df.columns
-        return _variant_cell(value, F.col(f"_kind_{name}") if known else F.schema_of_variant(value))
+        return _variant_cell(value, F.col(f"_kind_{name}") if known else variant_kind(value))
     present = value.isNotNull()
     if isinstance(kind, T.StringType):
         return Cell(present, text=value)

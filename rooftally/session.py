@@ -23,7 +23,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None,
+) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("rooftally")
@@ -32,6 +34,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
 
