@@ -45,30 +45,34 @@ def by_kind(cell: Cell, default: object, **rules: Callable[[Column], Column]) ->
     return result
 
 
-def variant_kind(value: Column) -> Column:
+def _kind(value: Column) -> Column:
     """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, ARRAY, OBJECT or VOID; null if absent."""
     return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
-def with_kinds(df: DataFrame) -> DataFrame:
-    """``df`` plus a column per VARIANT field naming its kind, so it is worked out once."""
+def opened(df: DataFrame) -> DataFrame:
+    """``df`` with each VARIANT field ``x`` read once, into ``_kind_x`` and its text ``_spelled_x``.
+
+    Reading a variant copies it, so the rules work on these two columns only.
+    """
     dirty = [f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
-    return df.select("*", *[variant_kind(F.col(name)).alias(f"_kind_{name}") for name in dirty]) if dirty else df
+    parts = [
+        part for name in dirty
+        for part in (_kind(F.col(name)).alias(f"_kind_{name}"), F.col(name).cast("string").alias(f"_spelled_{name}"))
+    ]
+    return df.select("*", *parts) if parts else df
 
 
-def _variant_cell(value: Column, kind: Column) -> Cell:
-    number = F.when(
-        kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), F.try_variant_get(value, "$", "double")
-    )
-    spelled = F.try_variant_get(value, "$", "string")
+def _variant_cell(present: Column, kind: Column, spelled: Column) -> Cell:
+    number = F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), spelled.try_cast("double"))
     # A JSON integer beyond 64 bits arrives as a DECIMAL; it keeps its digits too.
     whole = (kind == "BIGINT") | ((kind == "DECIMAL") & (F.abs(number) >= 2.0**63))
     return Cell(
-        present=value.isNotNull(),
+        present=present,
         text=F.when(kind == "STRING", spelled),
         number=number,
-        flag=F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
-        nested=F.when(kind.isin("ARRAY", "OBJECT"), F.to_json(value)),
+        flag=F.when(kind == "BOOLEAN", spelled == "true"),
+        nested=F.when(kind.isin("ARRAY", "OBJECT"), spelled),
         literal=F.when(whole, spelled).otherwise(float_text(number)),
     )
 
@@ -78,10 +82,11 @@ def cell_of(df: DataFrame, name: str) -> Cell:
     if name not in df.columns:
         return missing_cell()
     value, kind = F.col(name), df.schema[name].dataType
-    if isinstance(kind, T.VariantType):
-        known = f"_kind_{name}" in df.columns
-        return _variant_cell(value, F.col(f"_kind_{name}") if known else variant_kind(value))
     present = value.isNotNull()
+    if isinstance(kind, T.VariantType):
+        if f"_kind_{name}" in df.columns:
+            return _variant_cell(present, F.col(f"_kind_{name}"), F.col(f"_spelled_{name}"))
+        return _variant_cell(present, _kind(value), value.cast("string"))
     if isinstance(kind, T.StringType):
         return Cell(present, text=value)
     if isinstance(kind, (T.FloatType, T.DoubleType)):

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import cell_of, with_kinds
+from ..functions.cells import cell_of, opened
 from ..functions.coerce import clean_floor, clean_price, clean_rooms, clean_size, clean_text, scalar_text
 from ..schema import ERROR_COLUMN, LISTING_COLUMNS, RAW_COLUMN, REQUIRED_KEYS, SEQ_COLUMN
 
@@ -69,7 +69,7 @@ def tag_normalized(df: DataFrame) -> DataFrame:
     carried = [SEQ_COLUMN] if SEQ_COLUMN in df.columns else []
     line = [MALFORMED_COLUMN] if MALFORMED_COLUMN in df.columns else []
     fields = [name for name in df.columns if not name.startswith("_")]
-    dirty = with_kinds(df)
+    dirty = opened(df)
     cleaned = dirty.select(
         *[_cleaned(dirty, name).alias(name) for name in LISTING_COLUMNS],
         *carried, *line,

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import FINGERPRINT_COLUMN, deduplicate, keep_first, later_copies, with_fingerprint
-from ..operators.metrics import normalizer_counts, rejects_by_kind, spam_counts, validator_counts
+from ..operators.metrics import rejects_by_kind
 from ..operators.normalize import Normalized, split_normalized, tag_normalized
-from ..operators.validate import Validated, judge, price_stats, screen, split_judged, validate
-from ..schema import DOCUMENT_BATCH_LIMIT, ERROR_COLUMN, RAW_COLUMN, SEQ_COLUMN
+from ..operators.validate import (
+    REASON_COLUMN, SPAM_COLUMN, Validated, judge, price_stats, screen, split_judged, validate,
+)
+from ..schema import DOCUMENT_BATCH_LIMIT, ERROR_COLUMN, SEQ_COLUMN
 from ..sinks.documents import DocumentWriter, LoaderStats, load_documents
 from ..sinks.warehouse import WarehouseStats, append_to_warehouse
 from ..sources.landing import ordered_union, source_counts
@@ -76,17 +80,30 @@ def run_nightly(
     folder = folder or run_folder(spark, "nightly")
 
     screened = stage(screen(ordered_union(*map(tag_normalized, sources))), f"{folder}/screened")
-    normalized = split_normalized(screened)
-    accepted = screened.where(F.col(ERROR_COLUMN).isNull()).drop(ERROR_COLUMN, RAW_COLUMN)
-    stats = price_stats(accepted)
-    judged = judge(accepted, stats)
+    stats = price_stats(screened)
+    judged = judge(screened, stats)
     valid, rejected = split_judged(judged)
     unique = stage(deduplicate(valid), f"{folder}/unique")
 
-    counts = _counts(screened, accepted, judged, unique)
+    def to_documents() -> LoaderStats | None:
+        if documents is None:
+            return None
+        return load_documents(unique, documents, batch_size=batch_size, folder=f"{folder}/documents")
+
+    def to_warehouse() -> WarehouseStats | None:
+        if warehouse_path is None and not warehouse_table:
+            return None
+        return append_to_warehouse(unique.drop(SEQ_COLUMN), run_id, warehouse_path)
+
+    # The sinks do not wait for each other; both read the same stage table.
+    with ThreadPoolExecutor(2) as sinks:
+        document_load = sinks.submit(inheritable_thread_target(spark)(to_documents))
+        warehouse_load = sinks.submit(inheritable_thread_target(spark)(to_warehouse))
+        counts = _counts(judged, unique)
+
     return NightlyResult(
         folder=folder,
-        quarantine=normalized.quarantine,
+        quarantine=split_normalized(screened).quarantine,
         stats=stats,
         valid=valid,
         rejected=rejected,
@@ -95,28 +112,23 @@ def run_nightly(
         sources=source_counts(screened),
         rejects=rejects_by_kind(rejected),
         counts=counts,
-        documents=None if documents is None else load_documents(
-            unique, documents, batch_size=batch_size, folder=f"{folder}/documents"
-        ),
-        warehouse=append_to_warehouse(unique.drop(SEQ_COLUMN), run_id, warehouse_path)
-        if warehouse_path is not None or warehouse_table else None,
+        documents=document_load.result(),
+        warehouse=warehouse_load.result(),
     )
 
 
-def _counts(screened: DataFrame, accepted: DataFrame, judged: DataFrame, unique: DataFrame) -> dict[str, int]:
-    """Counts of all stages. Each reads a few narrow columns of a stage table, or its footers."""
-    normalizer = normalizer_counts(screened).first().asDict()
-    spam = spam_counts(accepted).first().asDict()
-    validator = validator_counts(judged).first().asDict()
+def _counts(judged: DataFrame, unique: DataFrame) -> dict[str, int]:
+    """Counts of all stages: one pass over a few narrow columns, and one over file footers."""
+    failed, spam = F.col(ERROR_COLUMN).isNotNull(), F.col(SPAM_COLUMN).isNotNull()
+    rejected = F.col(REASON_COLUMN).isNotNull()
+    counts = judged.agg(
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(~failed).alias("normalized"),
+        F.count_if(failed).alias("quarantined"),
+        F.count_if(spam).alias("spam_rejected"),
+        F.count_if(~failed & ~spam).alias("spam_passed"),
+        F.count_if(~failed & ~rejected).alias("valid"),
+        F.count_if(rejected).alias("rejected"),
+    ).first().asDict()
     survivors = unique.count()
-    return {
-        "raw": normalizer["input_count"],
-        "normalized": normalizer["output_count"],
-        "quarantined": normalizer["input_count"] - normalizer["output_count"],
-        "spam_rejected": spam["rejected"],
-        "spam_passed": spam["passed"],
-        "valid": validator["valid_count"],
-        "rejected": validator["rejected_count"],
-        "unique": survivors,
-        "duplicates": validator["valid_count"] - survivors,
-    }
+    return {**counts, "unique": survivors, "duplicates": counts["valid"] - survivors}

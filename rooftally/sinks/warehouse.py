@@ -70,7 +70,12 @@ def append_to_warehouse(
         _, dataset_part, table_part = target.rsplit(".", 2)
         name = f"{dataset_part}_{table_part}"
         if spark.catalog.tableExists(name):
-            stamped.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+            # The writer's insertInto ignores the overwrite mode; naming the partition does not.
+            columns = [c for c in spark.table(name).columns if c != RUN_COLUMN]
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {name} PARTITION ({RUN_COLUMN} = :run) SELECT * FROM {{rows}}",
+                args={"run": run_id}, rows=df.select(*columns),
+            )
         else:
             stamped.write.partitionBy(RUN_COLUMN).format(format).saveAsTable(name)
         written = spark.table(name)
