@@ -1,7 +1,7 @@
 """One dirty field, split by the kind of value it holds.
 
 Landing JSON is read with VARIANT fields, so a field may hold text, a number, a
-boolean, a nested value, JSON null, or be absent. Typed tables hold one kind.
+boolean, a nested value, JSON null, or be absent; :func:`open_variants` tells them apart. Typed tables hold one kind.
 Cleaning rules are written once against :class:`Cell` and work on both.
 
 Numbers never pass through Spark's double-to-string cast: ``25000000.0`` would
@@ -45,35 +45,48 @@ def by_kind(cell: Cell, default: object, **rules: Callable[[Column], Column]) ->
     return result
 
 
-def _kind(value: Column) -> Column:
-    """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, ARRAY, OBJECT or VOID; null if absent."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+# A VARIANT field taken apart. Null if the key is absent.
+#   kind: STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, ARRAY, OBJECT or VOID (JSON null)
+#   spelled: the value's text, whatever its kind
+# and the value again under its own kind.
+OPENED = ("kind", "spelled", "text", "number", "flag", "nested")
 
+# Reading a variant copies it, so it is read into kind and text first ...
+_READ = """
+  if({0} IS NULL, NULL, named_struct(
+    'kind', regexp_extract(schema_of_variant({0}), '^[A-Z]+', 0), 'spelled', cast({0} AS STRING))) AS {0}
+"""
+# ... and sorted by kind from those.
+_SORTED = """
+  if({0} IS NULL, NULL, named_struct(
+    'kind', {0}.kind, 'spelled', {0}.spelled,
+    'text', CASE WHEN {0}.kind = 'STRING' THEN {0}.spelled END,
+    'number', CASE WHEN {0}.kind IN ('BIGINT', 'DECIMAL', 'DOUBLE', 'FLOAT') THEN try_cast({0}.spelled AS DOUBLE) END,
+    'flag', CASE WHEN {0}.kind = 'BOOLEAN' THEN {0}.spelled = 'true' END,
+    'nested', CASE WHEN {0}.kind IN ('ARRAY', 'OBJECT') THEN {0}.spelled END)) AS {0}
+"""
+
+
+def open_variants(df: DataFrame, *also: Column) -> DataFrame:
+    """``df`` with its VARIANT columns as ``OPENED`` structs, plus the columns ``also``."""
+    dirty = {f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)}
+    if not dirty:
+        return df.select("*", *also)
+    read = df.selectExpr(*[_READ.format(name) if name in dirty else name for name in df.columns])
+    return read.select(*[F.expr(_SORTED.format(name)) if name in dirty else name for name in df.columns], *also)
 
-def opened(df: DataFrame) -> DataFrame:
-    """``df`` with each VARIANT field ``x`` read once, into ``_kind_x`` and its text ``_spelled_x``.
 
-    Reading a variant copies it, so the rules work on these two columns only.
-    """
-    dirty = [f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
-    parts = [
-        part for name in dirty
-        for part in (_kind(F.col(name)).alias(f"_kind_{name}"), F.col(name).cast("string").alias(f"_spelled_{name}"))
-    ]
-    return df.select("*", *parts) if parts else df
+def is_opened(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StructType) and tuple(kind.names) == OPENED
 
 
-def _variant_cell(present: Column, kind: Column, spelled: Column) -> Cell:
-    number = F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), spelled.try_cast("double"))
+def _opened_cell(value: Column) -> Cell:
+    kind, number = value["kind"], value["number"]
     # A JSON integer beyond 64 bits arrives as a DECIMAL; it keeps its digits too.
     whole = (kind == "BIGINT") | ((kind == "DECIMAL") & (F.abs(number) >= 2.0**63))
     return Cell(
-        present=present,
-        text=F.when(kind == "STRING", spelled),
-        number=number,
-        flag=F.when(kind == "BOOLEAN", spelled == "true"),
-        nested=F.when(kind.isin("ARRAY", "OBJECT"), spelled),
-        literal=F.when(whole, spelled).otherwise(float_text(number)),
+        present=value.isNotNull(), text=value["text"], number=number, flag=value["flag"], nested=value["nested"],
+        literal=F.when(whole, value["spelled"]).otherwise(float_text(number)),
     )
 
 
@@ -83,10 +96,8 @@ def cell_of(df: DataFrame, name: str) -> Cell:
         return missing_cell()
     value, kind = F.col(name), df.schema[name].dataType
     present = value.isNotNull()
-    if isinstance(kind, T.VariantType):
-        if f"_kind_{name}" in df.columns:
-            return _variant_cell(present, F.col(f"_kind_{name}"), F.col(f"_spelled_{name}"))
-        return _variant_cell(present, _kind(value), value.cast("string"))
+    if is_opened(kind):
+        return _opened_cell(value)
     if isinstance(kind, T.StringType):
         return Cell(present, text=value)
     if isinstance(kind, (T.FloatType, T.DoubleType)):

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import cell_of, opened
+from ..functions.cells import cell_of, is_opened, open_variants
 from ..functions.coerce import clean_floor, clean_price, clean_rooms, clean_size, clean_text, scalar_text
 from ..schema import ERROR_COLUMN, LISTING_COLUMNS, RAW_COLUMN, REQUIRED_KEYS, SEQ_COLUMN
 
@@ -54,9 +54,21 @@ def _error(df: DataFrame) -> Column:
     return F.coalesce(*checks)
 
 
-def _raw_record(fields: list[str], has_line: bool) -> Column:
+def _raw_member(df: DataFrame, name: str) -> Column:
+    """One ``"name":value`` of the record as it came; null if the key was absent."""
+    def written(value: Column) -> Column:
+        return F.nullif(F.regexp_extract(F.to_json(F.struct(value.alias(name))), r"(?s)^\{(.*)\}\z", 1), F.lit(""))
+
+    value = F.col(f"_in_{name}")
+    if not is_opened(df.schema[name].dataType):
+        return written(value)
+    bare = F.concat(F.lit(f'"{name}":'), F.coalesce(value["spelled"], F.lit("null")))
+    return F.when(value["kind"] == "STRING", written(value["text"])).when(value.isNotNull(), bare)
+
+
+def _raw_record(df: DataFrame, fields: list[str], has_line: bool) -> Column:
     """The record as it came: the unparsed line, or its fields as JSON."""
-    record = F.to_json(F.struct(*[F.col(f"_in_{name}").alias(name) for name in fields]))
+    record = F.concat(F.lit("{"), F.concat_ws(",", *[_raw_member(df, name) for name in fields]), F.lit("}"))
     return F.coalesce(F.col(MALFORMED_COLUMN), record) if has_line else record
 
 
@@ -69,7 +81,7 @@ def tag_normalized(df: DataFrame) -> DataFrame:
     carried = [SEQ_COLUMN] if SEQ_COLUMN in df.columns else []
     line = [MALFORMED_COLUMN] if MALFORMED_COLUMN in df.columns else []
     fields = [name for name in df.columns if not name.startswith("_")]
-    dirty = opened(df)
+    dirty = open_variants(df)
     cleaned = dirty.select(
         *[_cleaned(dirty, name).alias(name) for name in LISTING_COLUMNS],
         *carried, *line,
@@ -77,7 +89,7 @@ def tag_normalized(df: DataFrame) -> DataFrame:
         *[F.col(name).alias(f"_in_{name}") for name in fields],
     )
     flagged = cleaned.withColumn(ERROR_COLUMN, _error(cleaned))
-    raw = F.when(F.col(ERROR_COLUMN).isNotNull(), _raw_record(fields, bool(line)))
+    raw = F.when(F.col(ERROR_COLUMN).isNotNull(), _raw_record(dirty, fields, bool(line)))
     return flagged.select(*LISTING_COLUMNS, *carried, ERROR_COLUMN, raw.alias(RAW_COLUMN))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cells import open_variants
 from ..operators.normalize import MALFORMED_COLUMN
 from ..schema import LISTING_COLUMNS, SEQ_COLUMN
 
@@ -49,10 +50,21 @@ def scan_json(spark: SparkSession, path: str | list[str], rank: int, source: str
     ``source`` tags the rows; without it the records' own ``source`` is used.
     """
     lines = spark.read.schema(BRONZE).option("columnNameOfCorruptRecord", MALFORMED_COLUMN).json(path)
-    order = sequence_column(
-        rank, F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    placed = lines.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
     )
-    return _tagged(lines, source, order)
+    rows = open_lines(placed, rank, "_file", "_block")
+    return rows if source is None else rows.withColumn("source", F.lit(source))
+
+
+def open_lines(lines: DataFrame, rank: int | Column, file: str, block: str) -> DataFrame:
+    """Scanned lines with their fields opened and their order key.
+
+    Both in one projection: the running id keeps later filters above it, which
+    would otherwise be pushed to the scan and open every field a second time.
+    """
+    order = sequence_column(rank, F.col(file), F.col(block), F.monotonically_increasing_id())
+    return open_variants(lines, order).select(*LISTING_COLUMNS, MALFORMED_COLUMN, SEQ_COLUMN)
 
 
 def scan_table(

@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import MALFORMED_COLUMN
 from ..plans.nightly import nightly_stages
 from ..schema import LISTING_COLUMNS, SEQ_COLUMN
 from ..sinks.warehouse import append_to_warehouse
-from ..sources.landing import BRONZE, sequence_column
+from ..sources.landing import BRONZE, open_lines
 
 
 def _stream(spark: SparkSession, folder: str, rank: int) -> DataFrame:
@@ -33,13 +33,6 @@ def _stream(spark: SparkSession, folder: str, rank: int) -> DataFrame:
     )
 
 
-def _with_order(batch: DataFrame) -> DataFrame:
-    """The same order key as a batch scan; the running id is only allowed inside the batch."""
-    row: Column = F.monotonically_increasing_id()
-    order = sequence_column(F.col("_rank"), F.col("_file"), F.col("_block"), row)
-    return batch.select(*LISTING_COLUMNS, MALFORMED_COLUMN, order)
-
-
 def run_available(spark: SparkSession, landing: Sequence[str], table: str, progress: str) -> None:
     """Process every landing file not seen yet and append the survivors to ``table``.
 
@@ -48,7 +41,9 @@ def run_available(spark: SparkSession, landing: Sequence[str], table: str, progr
     id, so a batch repeated after a failure replaces its own slice.
     """
     def load(batch: DataFrame, number: int) -> None:
-        unique = nightly_stages([_with_order(batch)]).unique
+        # The running id in the order key is only allowed inside the micro-batch.
+        rows = open_lines(batch, F.col("_rank"), "_file", "_block")
+        unique = nightly_stages([rows]).unique
         append_to_warehouse(unique.drop(SEQ_COLUMN), f"batch-{number}", table)
 
     arriving = reduce(DataFrame.unionByName, [_stream(spark, f, rank) for rank, f in enumerate(landing)])
