@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import ready, staged
 from .exact_dedup import copy_groups
+from .packing import pack
+from .quality import learn as learn_quality, measured
 from .simhash import near_groups
+from .token_files import round_trip
+from .toxicity import REJECT_AT, is_held_out, learn as learn_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +31,28 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read(spark, sf_dir, "documents"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = staged(measured(read(spark, sf_dir, "documents")), "statistics")
+    forest = learn_quality(rows, read(spark, sf_dir, "labels"), allowed=~is_held_out(F.col("_id"), 3, 1))
+    scored = rows.select(F.col("_id").alias("doc_id"), is_held_out(F.col("_id"), 3, 1).alias("held_out"), forest.score(F.col("_values")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    model = learn_toxicity(documents, read(spark, sf_dir, "labels"), allowed=~is_held_out(F.col("_id"), 4, 2))
+    scored = documents.select("doc_id", is_held_out(F.col("doc_id"), 4, 2).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= REJECT_AT).cast("int"))
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "documents"))
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"))
+
+
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -39,6 +65,10 @@ FROM hashed WINDOW same AS (PARTITION BY text_sha256)
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": exact_dedup,
     "op2_simhash": simhash,
+    "op6_quality": quality,
+    "op7_toxicity": toxicity,
+    "op8_token_files": token_files,
+    "op9_packing": packing,
 }
 
 ORACLE: dict[str, str] = {
