@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ready, staged
+from .common import WORD, ready, staged
+from . import licenses, pii, warc
+from .decontaminate import contamination
 from .exact_dedup import copy_groups
 from .packing import pack
 from .quality import learn as learn_quality, measured
@@ -31,6 +33,23 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read(spark, sf_dir, "documents"))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("notices")
+
+
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged(measured(read(spark, sf_dir, "documents")), "statistics")
     forest = learn_quality(rows, read(spark, sf_dir, "labels"), allowed=~is_held_out(F.col("_id"), 3, 1))
@@ -53,6 +72,26 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    def ordered(spans):
+        order = F.array(*[F.lit(kind) for kind in (*pii.KINDS, *pii.ADDED)])
+        keyed = F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]).alias("_place"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))
+        return F.array_sort(keyed)
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(ordered(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -62,15 +101,47 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM hashed WINDOW same AS (PARTITION BY text_sha256)
 """
 
+WORDS = rf"regexp_extract_all({FOLD}, '{WORD}')"
+
+DECONTAMINATION = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
+items AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[s:s + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM items WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+placed AS (
+  SELECT doc_id, size, s, array_to_string(w[s:s + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM docs, sizes WHERE len(w) >= size)
+),
+found AS (SELECT DISTINCT doc_id, s, size, item_id FROM placed JOIN windows USING (size, phrase)),
+hit AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(s, s + size)) AS place FROM found) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": exact_dedup,
     "op2_simhash": simhash,
+    "op3_decontamination": decontamination,
+    "op4_license_scan": license_scan,
+    "op5_warc": archives,
     "op6_quality": quality,
     "op7_toxicity": toxicity,
     "op8_token_files": token_files,
     "op9_packing": packing,
+    "op10_pii": personal_data,
 }
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
+    "op3_decontamination": DECONTAMINATION,
 }

@@ -39,5 +39,9 @@ def random_access(uri: str):
 
 
 def remove(uri: str) -> None:
+    """Delete a file, if an earlier attempt has not."""
     store, path = locate(uri)
-    store.delete_file(path)
+    try:
+        store.delete_file(path)
+    except FileNotFoundError:
+        pass
