@@ -23,7 +23,7 @@ from .common import ready
 
 DIMENSION = 1 << 18
 BEGINNINGS = (3, 4, 5)
-FIT_DOCUMENTS = 10_000   # labelled documents that the driver fits on, at most half of them toxic
+FIT_DOCUMENTS = 6_000   # labelled documents that the driver fits on, at most half of them toxic
 EPOCHS = 60
 LEAST_SHARE = 0.03       # of the toxic documents that a feature must occur in; copies of one document share rare words
 REJECT_AT = 0.3
@@ -142,39 +142,42 @@ def fit(rows: pd.DataFrame, epochs: int = EPOCHS) -> ToxicityModel:
     if not len(rows) or labels.min() == labels.max():
         return ToxicityModel(weights.astype(np.float32), -12.0)
     cache: dict[bytes, list[int]] = {}
-    flat, owners, documents = [], [], []
-    sentences = 0
-    for at, text in enumerate(rows["text"]):
-        found = tokens(text)
-        for word in found:
-            if word not in cache:
-                cache[word] = features(word)
-            ids = cache[word]
-            flat.extend(ids)
-            owners.extend([sentences] * len(ids))
-            if ends_sentence(word):
-                documents.append(at)
-                sentences += 1
-        if found and not ends_sentence(found[-1]):
-            documents.append(at)
-            sentences += 1
-    documents = np.array(documents, np.int64)
-    # A sentence has a feature or not, however often.
-    cells = np.unique(np.array(owners, np.int64) * DIMENSION + np.array(flat, np.int64))
-    owner, feature = np.divmod(cells, DIMENSION)
+
+    def features_of(word: bytes) -> list[int]:
+        ids = cache.get(word)
+        if ids is None:
+            ids = features(word)
+            if len(cache) < _KNOWN:
+                cache[word] = ids
+        return ids
 
     # Only features that toxic documents hold beyond chance take part: a clean sentence then has the bias
     # alone, and the many sentences of a long document do not add up to an alarm.
+    by_label = np.zeros((2, DIMENSION), dtype=np.int64)
+    for text, label in zip(rows["text"], labels):
+        held = set()
+        for word in set(tokens(text)):
+            held.update(features_of(word))
+        by_label[int(label > 0.5), np.fromiter(held, np.int64, len(held))] += 1
+    others, hits = by_label
     toxic, clean = max(labels.sum(), 1), max((1 - labels).sum(), 1)
-    held = np.unique(documents[owner] * DIMENSION + feature)
-    of_toxic = labels[held // DIMENSION] > 0.5
-    hits = np.bincount(held[of_toxic] % DIMENSION, minlength=DIMENSION)
-    others = np.bincount(held[~of_toxic] % DIMENSION, minlength=DIMENSION)
     share = (hits + others + 1) / (toxic + clean + 2)
     surplus = (hits / toxic - others / clean) / np.sqrt(share * (1 - share) * (1 / toxic + 1 / clean))
     usable = (hits >= max(3, LEAST_SHARE * toxic)) & (surplus > 6) & (hits / toxic > 5 * others / clean)
-    kept = usable[feature]
-    owner, feature = owner[kept], feature[kept]
+    chosen = set(np.flatnonzero(usable).tolist())
+
+    cells, documents, sentences = [], [], 0
+    for at, text in enumerate(rows["text"]):
+        found = tokens(text)
+        first = sentences
+        for word in found:
+            # A sentence has a feature or not, however often.
+            cells += [sentences * DIMENSION + feature for feature in features_of(word) if feature in chosen]
+            sentences += ends_sentence(word)
+        sentences += bool(found) and not ends_sentence(found[-1])
+        documents += [at] * (sentences - first)
+    documents = np.array(documents, np.int64)
+    owner, feature = np.divmod(np.unique(np.array(cells, np.int64)), DIMENSION)
 
     importance = rows["weight"].to_numpy(np.float64)
     importance = importance / importance.mean()
