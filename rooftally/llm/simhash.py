@@ -182,13 +182,13 @@ def sparse_links(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if (lower == label).all():
             break
         label = lower
-    # Components are known: link each column to its component's first row, and each other row to a column of its own.
+    # Components are known: link each column to its component's first row, and each row to a column of its own.
     used = np.flatnonzero(column < rows)
     first = np.full(rows, -1)
     first[x[::-1]] = y[::-1]
     has = np.flatnonzero(first >= 0)
     # A root row may not touch every column it stands for, but the two are connected, so the link adds nothing new.
-    return np.concatenate([column[used], label[has]]), np.concatenate([used, first[has]])
+    return np.concatenate([column[used], has]), np.concatenate([used, first[has]])
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +283,8 @@ def near_groups(
     named = prints.join(names, "_print", "left").select(
         F.col("_print").alias("_key"), F.when(F.col("_linked"), F.col("_lowest")).otherwise(F.col("_low")).alias("_component"),
     )
-    return hashed.join(named, F.col("_print") == F.col("_key")).select(
+    # Written first, so that both sides of the join come from exchanges of its own and a hot fingerprint can be split.
+    return hashed.join(staged(named, "components"), F.col("_print") == F.col("_key")).select(
         F.col("_id").alias(id_column), F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"),
         F.col("_component").alias("component_id"),
     )

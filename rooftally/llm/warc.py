@@ -152,7 +152,7 @@ def choose_revisits(written: DataFrame, least_bytes: int = 0) -> DataFrame:
 def normalise(files: DataFrame, folder: str) -> DataFrame:
     """Rewrite archives, a row each of ``path`` and ``revisits`` (ordinal, refers_to, refers_record), with a member for each record.
 
-    Gives ``path`` (new), ``index`` (its sidecar) and ``records``. The sidecar has a line for each record:
+    Gives ``path`` (new), ``sidecar`` (its index) and ``records``. The sidecar has a line for each record:
     offset, length, type and record id, separated by tabs. A file of no records gives an empty archive.
     """
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,9 +178,9 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                         out.write(member)
                         index.write(f"{offset}\t{len(member)}\t{kind}\t{number}\n".encode())
                         offset, count = offset + len(member), count + 1
-                yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([sidecar]), pa.array([count], pa.int64())], ["path", "index", "records"])
+                yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([sidecar]), pa.array([count], pa.int64())], ["path", "sidecar", "records"])
 
-    return files.select("path", "revisits").mapInArrow(rewrite, "path string, index string, records bigint")
+    return files.select("path", "revisits").mapInArrow(rewrite, "path string, sidecar string, records bigint")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if found:
                     yield rows(found)
 
-    return archives.select("path", "index").mapInArrow(
+    return archives.select("path", "sidecar").mapInArrow(
         read, "page string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, html string",
     )
 
