@@ -14,7 +14,7 @@ import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-REMEMBERED = 700_000    # pieces that a worker remembers; others are encoded again when met
+REMEMBERED = 400_000    # pieces that a worker remembers; others are encoded again when met
 _GROUP = 4_096
 # Where a space does not begin a part of its own.
 _MIXED = re.compile(r"\s |\s\Z|\A\s")
