@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import partial
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions.cells import cell_of
 from .functions.coerce import clean_floor, clean_price, clean_rooms, clean_size, clean_text
@@ -16,19 +20,20 @@ from .operators.dedup import copy_counts, keep_first, later_copies
 from .operators.metrics import (
     dedup_counts, normalizer_counts, reason_kind, rejects_by_kind, spam_counts, validator_counts,
 )
-from .operators.normalize import Normalized, normalize
-from .operators.sigma import attach_stats, sigma_stats, sigma_thresholds, tag_outliers
+from .operators.normalize import Normalized, normalize, split_normalized, tag_normalized
+from .operators.sigma import attach_stats, reported, sigma_stats, sigma_thresholds, tag_outliers
 from .operators.validate import judge, price_stats, screen, split_judged
 from .plans.analyst import CITY_SHARE, DEAREST_PER_CITY, ROLLUP
-from .plans.landing_zone import write_json_landing, write_parquet_landing
+from .plans.landing_zone import write_faulty_landing, write_json_landing, write_parquet_landing
 from .plans.nightly import NightlyStages, nightly_stages, run_nightly
 from .plans.rawview import raw_feed, raw_sources
 from .schema import ERROR_COLUMN, LISTING_COLUMNS, RAW_COLUMN, SEQ_COLUMN, SOURCES
 from .sinks.documents import load_documents
+from .sinks.slices import RUN_COLUMN, slice_folder
 from .sinks.warehouse import append_to_warehouse
 from .sources.landing import ordered_union, scan_json, scan_table, source_counts
-from .session import spread, tune
-from .staging import run_folder
+from .session import importable, tune
+from .staging import run_folder, stage
 from .streaming.incremental import run_available
 from .tables import read_table
 
@@ -71,6 +76,28 @@ def json_landing_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_union(*[normalize(scan).clean for scan in scans]).select(*LISTING_COLUMNS)
 
 
+def _faulty(spark: SparkSession, sf_dir: str) -> Normalized:
+    """The landing with broken records, cleaned once and written."""
+    folder = run_folder(spark, "faulty")
+    scans = [scan_json(spark, path, rank) for rank, path in enumerate(write_faulty_landing(spark, sf_dir, f"{folder}/landing"))]
+    return split_normalized(stage(ordered_union(*map(tag_normalized, scans)), f"{folder}/tagged"))
+
+
+def json_landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _faulty(spark, sf_dir).quarantine.select(
+        F.get_json_object(RAW_COLUMN, "$.id").alias("id"), F.col(ERROR_COLUMN).alias("error"),
+    )
+
+
+def json_landing_faulty_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _faulty(spark, sf_dir).clean.select(*LISTING_COLUMNS)
+
+
+def json_landing_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    screened = screen(_faulty(spark, sf_dir).clean)
+    return screened.where("_spam IS NOT NULL").select("id", F.col("_spam").alias("reason"))
+
+
 def json_landing_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nightly_stages(_from_json(spark, sf_dir)).unique.select("id", "fingerprint")
 
@@ -99,7 +126,7 @@ def text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return documents.select("doc_id", clean_text(cell_of(documents, "text")).alias("text"))
 
 
@@ -130,7 +157,7 @@ def count_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _keyword_rows(table: str, *ids: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = spread(read_table(spark, sf_dir, table).select(*ids, "text"), *ids)
+        rows = read_table(spark, sf_dir, table).select(*ids, "text")
         lowered = rows.select(*ids, F.lower("text").alias("_lowered"))
         return lowered.select(*ids, keyword_hit(F.col("_lowered")).alias("keyword")).where("keyword IS NOT NULL")
     return query
@@ -143,11 +170,11 @@ def _screened(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(price_stats(_screened(spark, sf_dir)), "mu", "sigma")
+    return _rounded(reported(price_stats(_screened(spark, sf_dir))), "mu", "sigma")
 
 
 def deal_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(sigma_thresholds(price_stats(_screened(spark, sf_dir))), "mu", "sigma", "threshold")
+    return _rounded(sigma_thresholds(reported(price_stats(_screened(spark, sf_dir)))), "mu", "sigma", "threshold")
 
 
 def stats_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +184,7 @@ def stats_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = _stages(spark, sf_dir).validated.rejected
+    rejected = _stages(spark, sf_dir).rejected
     return (
         rejected.where(reason_kind(F.col("reason")) == "price outlier")
         .select("listing.id", "listing.deal_type", "listing.price", "reason")
@@ -171,17 +198,27 @@ def _outlier_rows(table: str, value: str, by: str, *ids: str) -> Query:
     return query
 
 
+def lineitem_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices against those of the same part, with a fault put in: tenfold prices in some orders."""
+    rows = read_table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "if(l_orderkey % 41 = 0, l_extendedprice * 10, l_extendedprice) AS l_extendedprice",
+    )
+    return tag_outliers(rows, "l_extendedprice", "l_partkey").where("is_outlier").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+    )
+
+
 def event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = sigma_stats(read_table(spark, sf_dir, "events"), "value", "event_type")
     return _rounded(sigma_thresholds(stats), "mu", "sigma", "threshold")
 
 
 def valid_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stages(spark, sf_dir).validated.valid.select(*LISTING_COLUMNS)
+    return _stages(spark, sf_dir).valid.select(*LISTING_COLUMNS)
 
 
 def rejected_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stages(spark, sf_dir).validated.rejected.select("listing.*", "reason")
+    return _stages(spark, sf_dir).rejected.select("listing.*", "reason")
 
 
 def count_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +227,7 @@ def count_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejects_by_kind(_stages(spark, sf_dir).validated.rejected)
+    return rejects_by_kind(_stages(spark, sf_dir).rejected)
 
 
 # Identity and deduplication
@@ -209,8 +246,7 @@ def survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stages(spark, sf_dir).fingerprinted.select("id", "fingerprint", SEQ_COLUMN)
-    return later_copies(rows, "fingerprint", SEQ_COLUMN).select("id", "fingerprint")
+    return _stages(spark, sf_dir).duplicates.select("id", "fingerprint")
 
 
 def count_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,8 +277,20 @@ def nightly_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nightly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = run_nightly([raw_feed(spark, sf_dir)], _RUN).counts
-    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+    result = run_nightly([raw_feed(spark, sf_dir)], _RUN)
+    counts = spark.createDataFrame([tuple(result.counts.values())], ", ".join(f"{name} bigint" for name in result.counts))
+    result.close()
+    return counts
+
+
+def nightly_both_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run into both sinks, and what each has of a listing."""
+    folder = run_folder(spark, "both")
+    result = run_nightly([raw_feed(spark, sf_dir)], _RUN, documents=f"{folder}/documents", warehouse_path=f"{folder}/table")
+    result.close()
+    documents = spark.read.schema("id string, batch_id bigint").json(slice_folder(f"{folder}/documents", _RUN))
+    stored = spark.read.parquet(f"{folder}/table").select("id", "fingerprint", RUN_COLUMN)
+    return documents.join(stored, "id", "full")
 
 
 def incremental_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,6 +300,15 @@ def incremental_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/listings").select("id", "fingerprint")
 
 
+def incremental_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream for each source into one table; the first finds nothing new the second time."""
+    folder = run_folder(spark, "incremental")
+    landing = write_json_landing(spark, sf_dir, f"{folder}/landing")
+    for at in (0, 1, 0):
+        run_available(spark, [landing[at]], f"{folder}/listings", f"{folder}/progress-{at}")
+    return spark.read.parquet(f"{folder}/listings").select("id", "fingerprint")
+
+
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = _stages(spark, sf_dir).unique.select("id", SEQ_COLUMN)
     return assign_batches(number_in_order(unique, SEQ_COLUMN, run_folder(spark, "batches")).rows)
@@ -265,21 +322,69 @@ def document_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_sizes(_batched(spark, sf_dir))
 
 
+def _document_schema(unique: DataFrame) -> T.StructType:
+    return unique.drop(SEQ_COLUMN).withColumn(BATCH_COLUMN, F.lit(0).cast("bigint")).schema
+
+
 def loaded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = run_folder(spark, "documents")
     unique = _stages(spark, sf_dir).unique
-    load_documents(unique, target)
-    schema = unique.drop(SEQ_COLUMN).withColumn(BATCH_COLUMN, F.lit(0).cast("bigint")).schema
-    return spark.read.schema(schema).json(target)
+    load_documents(unique, target, _RUN)
+    return spark.read.schema(_document_schema(unique)).json(slice_folder(target, _RUN))
+
+
+def document_sink_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each source, and the first one once more: the folder has both, once."""
+    target = run_folder(spark, "documents")
+    unique = _stages(spark, sf_dir).unique
+    for source in (*SOURCES, SOURCES[0]):
+        load_documents(unique.where(F.col("source") == source), target, source)
+    return spark.read.schema(f"id string, {BATCH_COLUMN} bigint, {RUN_COLUMN} string").json(target)
+
+
+class _FolderWriter:
+    """A document store for queries: a file for each batch in the shared folder."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+
+    def commit(self, run_id: str, batch_id: int, documents: list[dict]) -> None:
+        store, path = fs.FileSystem.from_uri(self.folder if ":" in self.folder else f"file://{self.folder}")
+        store.create_dir(path, recursive=True)
+        lines = [json.dumps({"run_id": run_id, "batch_id": batch_id, "id": document["id"]}) for document in documents]
+        with store.open_output_stream(f"{path}/{run_id}-{batch_id}.json") as file:
+            file.write("\n".join(lines).encode())
+
+    def close(self) -> None:
+        pass
+
+
+def document_writer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches as a writer on the executors commits them."""
+    folder = run_folder(spark, "committed")
+    load_documents(_stages(spark, sf_dir).unique, partial(_FolderWriter, folder), _RUN)
+    return spark.read.schema("run_id string, batch_id bigint, id string").json(folder)
 
 
 def document_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = load_documents(_stages(spark, sf_dir).unique, run_folder(spark, "documents"))
+    stats = load_documents(_stages(spark, sf_dir).unique, run_folder(spark, "documents"), _RUN)
     return spark.createDataFrame(
-        [(stats.total_loaded, stats.batch_count)], "total_loaded bigint, batch_count bigint"
+        [(stats.total_loaded, stats.batch_count, round(stats.average_batch, 4))],
+        "total_loaded bigint, batch_count bigint, average_batch double",
     )
 
 
+def warehouse_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each source, the first one repeated, and a third run that is empty when repeated."""
+    path = run_folder(spark, "warehouse")
+    unique = _stages(spark, sf_dir).unique.drop(SEQ_COLUMN)
+    for source in (*SOURCES, SOURCES[0]):
+        append_to_warehouse(unique.where(F.col("source") == source), source, path)
+    for rows in (unique, unique.where("false")):
+        append_to_warehouse(rows, "third", path)
+    return spark.read.schema(f"id string, fingerprint string, {RUN_COLUMN} string").parquet(path)
+
+
 def _loaded_table(spark: SparkSession, sf_dir: str) -> str:
     path = run_folder(spark, "warehouse")
     append_to_warehouse(_stages(spark, sf_dir).unique.drop(SEQ_COLUMN), _RUN, path)
@@ -312,6 +417,9 @@ _QUERIES: dict[str, Query] = {
     "source_counts": count_sources,
     "json_landing_listings": json_landing_listings,
     "json_landing_survivors": json_landing_survivors,
+    "json_landing_quarantine": json_landing_quarantine,
+    "json_landing_faulty_listings": json_landing_faulty_listings,
+    "json_landing_spam": json_landing_spam,
     "parquet_landing_survivors": parquet_landing_survivors,
     "normalize_price": _field(clean_price, "price"),
     "normalize_rooms": _field(clean_rooms, "rooms"),
@@ -333,7 +441,7 @@ _QUERIES: dict[str, Query] = {
     "sigma_events": _outlier_rows("events", "value", "event_type", "event_id"),
     "sigma_event_thresholds": event_stats,
     "sigma_event_users": _outlier_rows("events", "value", "user_id", "event_id"),
-    "sigma_lineitem_parts": _outlier_rows("lineitem", "l_extendedprice", "l_partkey", "l_orderkey", "l_linenumber"),
+    "sigma_lineitem_parts": lineitem_outliers,
     "valid_listings": valid_listings,
     "rejected_listings": rejected_listings,
     "validator_counts": count_valid,
@@ -348,12 +456,17 @@ _QUERIES: dict[str, Query] = {
     "document_copy_counts": count_document_copies,
     "nightly_survivors": nightly_survivors,
     "nightly_counts": nightly_counts,
+    "nightly_both_sinks": nightly_both_sinks,
     "incremental_survivors": incremental_survivors,
+    "incremental_two_streams": incremental_two_streams,
     "document_batches": document_batches,
     "document_batch_sizes": document_batch_sizes,
     "document_sink": loaded_documents,
+    "document_sink_two_runs": document_sink_two_runs,
+    "document_writer_batches": document_writer_batches,
     "document_load_stats": document_load_stats,
     "warehouse_append": warehouse_append,
+    "warehouse_two_runs": warehouse_two_runs,
     "warehouse_load_stats": warehouse_load_stats,
     "analyst_rollup": _analyst(ROLLUP),
     "analyst_dearest_per_city": _analyst(DEAREST_PER_CITY),
@@ -363,7 +476,7 @@ _QUERIES: dict[str, Query] = {
 
 def _tuned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(tune(spark), sf_dir)
+        return query(importable(tune(spark)), sf_dir)
     return run
 
 

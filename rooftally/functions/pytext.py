@@ -42,9 +42,9 @@ def _decimal_digits() -> tuple[str, str]:
 
 
 def ascii_digits(text: Column) -> Column:
-    """Rewrite digits of other scripts as 0-9."""
+    """Rewrite digits of other scripts as 0-9. ASCII text, which has as many bytes as characters, is passed on."""
     foreign, plain = _decimal_digits()
-    return F.translate(text, foreign, plain)
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.translate(text, foreign, plain))
 
 
 def strip(text: Column) -> Column:

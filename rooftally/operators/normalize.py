@@ -72,6 +72,15 @@ def _raw_record(df: DataFrame, fields: list[str], has_line: bool) -> Column:
     return F.coalesce(F.col(MALFORMED_COLUMN), record) if has_line else record
 
 
+def _kept_above(verdict: Column) -> Column:
+    """``verdict`` as a value that filters are not pushed through.
+
+    Pushed below the cleaning, a filter on it would work out every field a second
+    time. The running id is never below zero, but Spark may not look behind it.
+    """
+    return F.coalesce(verdict, F.when(F.monotonically_increasing_id() < 0, ""))
+
+
 def tag_normalized(df: DataFrame) -> DataFrame:
     """Cleaned listing columns, order key, and ``_error``/``_raw`` for failing rows.
 
@@ -88,7 +97,7 @@ def tag_normalized(df: DataFrame) -> DataFrame:
         *[_has_key(dirty, key).alias(f"_has_{key}") for key in REQUIRED_KEYS],
         *[F.col(name).alias(f"_in_{name}") for name in fields],
     )
-    flagged = cleaned.withColumn(ERROR_COLUMN, _error(cleaned))
+    flagged = cleaned.withColumn(ERROR_COLUMN, _kept_above(_error(cleaned)))
     raw = F.when(F.col(ERROR_COLUMN).isNotNull(), _raw_record(dirty, fields, bool(line)))
     return flagged.select(*LISTING_COLUMNS, *carried, ERROR_COLUMN, raw.alias(RAW_COLUMN))
 

@@ -1,7 +1,8 @@
 """Grouped mean ± nσ fences.
 
-Grouping has few, huge groups, so nothing here moves a group's rows together:
-the statistics are a two-step aggregate and go back to the rows by broadcast.
+A group may hold a third of all rows, so nothing here moves a large group's rows
+together: the statistics are a two-step aggregate, those of large groups go back to
+the rows by broadcast, and only rows of small groups are shuffled.
 """
 
 from __future__ import annotations
@@ -13,35 +14,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import OUTLIER_SIGMA
-from ..staging import shared_folder
+from ..staging import run_folder, stage
 
-# Largest number of groups whose statistics are broadcast (about 100 bytes each).
-MAX_BROADCAST_GROUPS = 10_000
-# Beyond that, a group with more than this share of the rows counts as heavy.
+# A group with more than this share of the rows counts as heavy.
 HEAVY_SHARE = 0.001
 
 STAT_COLUMNS = ("n", "mu", "sigma")
+# All rows of a group, whether their value counts or not.
+ROWS_COLUMN = "_rows"
 
 
 def _keys(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def sigma_stats(
+def group_stats(
     df: DataFrame, value: str, by: str | Sequence[str], among: Column | None = None,
 ) -> DataFrame:
-    """Row count, mean and population deviation of ``value`` per group, over rows with ``among``.
+    """All rows, counted rows, mean and population deviation of ``value`` per group; ``among`` says which rows count.
 
     ``among`` is applied inside the aggregates: as a filter it would be pushed
-    below the projections that compute it and be evaluated twice.
+    below the projections that compute it and be evaluated twice. Groups without
+    a counted value are kept, as their rows must be placed as well.
     """
     counted = F.col(value) if among is None else F.when(among, F.col(value))
-    stats = df.groupBy(*_keys(by)).agg(
+    return df.groupBy(*_keys(by)).agg(
+        F.count(F.lit(1)).alias(ROWS_COLUMN),
         F.count(counted).alias("n"),
         F.avg(counted).alias("mu"),
         F.stddev_pop(counted).alias("sigma"),
     )
-    return stats.where("n > 0")
+
+
+def reported(stats: DataFrame) -> DataFrame:
+    """The statistics of groups that have any, without the count of all rows."""
+    return stats.where("n > 0").drop(ROWS_COLUMN)
+
+
+def sigma_stats(
+    df: DataFrame, value: str, by: str | Sequence[str], among: Column | None = None,
+) -> DataFrame:
+    """Row count, mean and population deviation of ``value`` per group, over rows with ``among``."""
+    return reported(group_stats(df, value, by, among))
 
 
 def sigma_thresholds(stats: DataFrame, n_sigma: float = OUTLIER_SIGMA) -> DataFrame:
@@ -50,7 +64,12 @@ def sigma_thresholds(stats: DataFrame, n_sigma: float = OUTLIER_SIGMA) -> DataFr
 
 
 def _renamed(stats: DataFrame, keys: list[str]) -> DataFrame:
-    return stats.select(*[F.col(key).alias(f"_stat_{key}") for key in keys], *STAT_COLUMNS)
+    """Statistics under names that do not clash with the rows'; those of no counted value as null."""
+    some = F.col("n") > 0
+    return stats.select(
+        *[F.col(key).alias(f"_stat_{key}") for key in keys],
+        *[F.when(some, F.col(name)).alias(name) for name in STAT_COLUMNS],
+    )
 
 
 def _same_group(keys: list[str]) -> Column:
@@ -58,37 +77,17 @@ def _same_group(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_stat_{key}")) for key in keys])
 
 
-def attach_stats(
-    df: DataFrame, stats: DataFrame, by: str | Sequence[str], max_groups: int = MAX_BROADCAST_GROUPS,
-) -> DataFrame:
-    """Every row of ``df`` with its group's ``n``, ``mu``, ``sigma`` (null if the group has none).
+def attach_stats(df: DataFrame, stats: DataFrame, by: str | Sequence[str]) -> DataFrame:
+    """Every row of ``df`` with its group's ``n``, ``mu``, ``sigma`` (null if no value of the group counts).
 
-    The statistics are evaluated here, once, reading at most ``max_groups + 1``
-    of them. If that is all of them they are broadcast as constants; if not,
-    :func:`_attach_many` handles any number of groups.
+    ``stats`` is a table of :func:`group_stats`, best one that is written, since it is
+    read for either half. Groups with more than ``HEAVY_SHARE`` of all rows, fewer
+    than ``1 / HEAVY_SHARE`` by arithmetic, are broadcast. The others are small, so
+    a shuffle join on the group key is even. The plan is the same for any number of groups.
     """
     keys = _keys(by)
-    few = stats.select(*keys, *STAT_COLUMNS).limit(max_groups + 1).toArrow()
-    if few.num_rows > max_groups:
-        return _attach_many(df, stats, keys)
-    constants = df.sparkSession.createDataFrame(few, schema=stats.select(*keys, *STAT_COLUMNS).schema)
-    return (
-        df.join(F.broadcast(_renamed(constants, keys)), _same_group(keys), "left")
-        .drop(*[f"_stat_{key}" for key in keys])
-    )
-
-
-def _attach_many(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """The same for more groups than may be broadcast.
-
-    Groups above ``HEAVY_SHARE`` of the rows, fewer than ``1 / HEAVY_SHARE`` by
-    arithmetic, are broadcast. The others are small, so a plain shuffle join on
-    the group key is even.
-    """
-    shared_folder(df.sparkSession)
-    stats = stats.select(*keys, *STAT_COLUMNS).checkpoint()
-    total = stats.agg(F.sum("n")).first()[0] or 0
-    is_heavy = F.col("n") > F.lit(total * HEAVY_SHARE)
+    total = stats.agg(F.sum(ROWS_COLUMN)).first()[0] or 0
+    is_heavy = F.col(ROWS_COLUMN) > F.lit(total * HEAVY_SHARE)
     heavy, light = _renamed(stats.where(is_heavy), keys), _renamed(stats.where(~is_heavy), keys)
     same = _same_group(keys)
     in_heavy = df.join(F.broadcast(heavy), same, "inner")
@@ -103,10 +102,7 @@ def is_outlier(value: str | Column, n_sigma: float = OUTLIER_SIGMA) -> Column:
     return F.coalesce(outside, F.lit(False))
 
 
-def tag_outliers(
-    df: DataFrame, value: str, by: str | Sequence[str],
-    n_sigma: float = OUTLIER_SIGMA, max_groups: int = MAX_BROADCAST_GROUPS,
-) -> DataFrame:
+def tag_outliers(df: DataFrame, value: str, by: str | Sequence[str], n_sigma: float = OUTLIER_SIGMA) -> DataFrame:
     """``df`` with its group statistics and a boolean ``is_outlier``."""
-    judged = attach_stats(df, sigma_stats(df, value, by), by, max_groups)
-    return judged.withColumn("is_outlier", is_outlier(value, n_sigma))
+    stats = stage(group_stats(df, value, by), run_folder(df.sparkSession, "stats"))
+    return attach_stats(df, stats, by).withColumn("is_outlier", is_outlier(value, n_sigma))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.screening import outlier_reason, spam_reason
 from ..schema import ERROR_COLUMN, LISTING_COLUMNS, OUTLIER_SIGMA, RAW_COLUMN
-from .sigma import STAT_COLUMNS, attach_stats, is_outlier, sigma_stats
+from ..staging import run_folder, stage
+from .sigma import STAT_COLUMNS, attach_stats, group_stats, is_outlier
 
 SPAM_COLUMN = "_spam"
 REASON_COLUMN = "reason"
@@ -18,7 +19,7 @@ REASON_COLUMN = "reason"
 @dataclass(frozen=True)
 class Validated:
     judged: DataFrame     # every input row with `_spam` and `reason`
-    stats: DataFrame      # n, μ, σ per deal type over the spam survivors
+    stats: DataFrame      # rows, n, μ, σ per deal type over the spam survivors, as written
     valid: DataFrame      # rows without a reason
     rejected: DataFrame   # listing struct, reason, and any carried columns
 
@@ -37,7 +38,7 @@ def screen(df: DataFrame) -> DataFrame:
 
 def price_stats(screened: DataFrame) -> DataFrame:
     """Statistics over the rows that passed the spam checks, outliers included."""
-    return sigma_stats(screened, "price", "deal_type", among=_accepted(screened) & F.col(SPAM_COLUMN).isNull())
+    return group_stats(screened, "price", "deal_type", among=_accepted(screened) & F.col(SPAM_COLUMN).isNull())
 
 
 def judge(screened: DataFrame, stats: DataFrame, n_sigma: float = OUTLIER_SIGMA) -> DataFrame:
@@ -69,7 +70,7 @@ def split_judged(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def validate(df: DataFrame) -> Validated:
     screened = screen(df)
-    stats = price_stats(screened)
+    stats = stage(price_stats(screened), run_folder(df.sparkSession, "stats"))
     judged = judge(screened, stats)
     valid, rejected = split_judged(judged)
     return Validated(judged=judged, stats=stats, valid=valid, rejected=rejected)

@@ -18,7 +18,9 @@ _FLOOR = (
 )
 _SIZE = "CASE WHEN size_sqm IS NULL OR size_sqm = '' THEN 0 ELSE try_cast(size_sqm AS DOUBLE) END"
 
+# --- Fixed values: the spam keywords, in the order they are tried. ---
 _KEYWORDS = ("test", "בדיקה", "lorem ipsum", "dummy", "fake", "placeholder")
+# --- End of fixed values. ---
 
 
 def _keyword(column: str) -> str:
@@ -93,12 +95,41 @@ SELECT *, (row_number() OVER (ORDER BY source_rank, seq) - 1) // 400 + 1 AS batc
 }
 
 
-def _after(step: str, select: str) -> str:
+def _after(step: str, select: str, **changed: str) -> str:
+    """``select`` over the steps up to ``step``, some of them ``changed``."""
     names = list(_STEPS)
     used = names[: names.index(step) + 1]
-    return "WITH " + ", ".join(f"{name} AS ({_STEPS[name]})" for name in used) + " " + select
+    return "WITH " + ", ".join(f"{name} AS ({changed.get(name, _STEPS[name])})" for name in used) + " " + select
 
 
+def _by_source(step: str) -> str:
+    """The step as it is when every source runs by itself."""
+    return (
+        _STEPS[step].replace("GROUP BY deal_type", "GROUP BY source, deal_type").replace("SELECT deal_type,", "SELECT source, deal_type,")
+        .replace("ON s.deal_type = t.deal_type", "ON s.deal_type = t.deal_type AND s.source = t.source")
+        .replace("PARTITION BY fingerprint", "PARTITION BY source, fingerprint")
+        .replace("OVER (ORDER BY source_rank, seq)", "OVER (PARTITION BY source ORDER BY seq)")
+    )
+
+
+# Faults of the faulty landing by order key, the first that fits.
+_FAULTS = {
+    211: "missing source", 223: "missing deal_type", 227: "missing property_type", 229: "malformed record", 233: "bad price",
+    239: "no id", 241: "null phone", 251: "number for id", 257: "lorem ipsum dolor", 263: "a Dummy flat", 269: "FAKE listing",
+    271: "placeholder text", 277: "fake and lorem ipsum",
+}
+_LOST = "('missing source', 'missing deal_type', 'missing property_type', 'malformed record')"
+_FAULTY = f"""
+SELECT * REPLACE (
+         CASE fault WHEN 'no id' THEN '' WHEN 'number for id' THEN '12345678901' ELSE id END AS id,
+         CASE fault WHEN 'null phone' THEN '' ELSE agent_phone END AS agent_phone,
+         CASE WHEN seq_fault > 251 THEN fault ELSE description END AS description,
+         CASE WHEN fault IN {_LOST} THEN fault WHEN error IS NOT NULL THEN error
+              WHEN fault = 'bad price' THEN 'price not finite' END AS error)
+FROM (SELECT *, CASE {' '.join(f"WHEN seq % {key} = 0 THEN '{fault}'" for key, fault in _FAULTS.items())} END AS fault,
+             CASE {' '.join(f"WHEN seq % {key} = 0 THEN {key}" for key in _FAULTS)} ELSE 0 END AS seq_fault
+      FROM ({_STEPS['tagged']}))"""
+
 _SURVIVORS = _after("survivors", "SELECT id, fingerprint FROM survivors")
 
 _DOCUMENT_RANKS = (
@@ -119,6 +150,14 @@ ORACLE: dict[str, str] = {
     "source_counts": _after("raw", "SELECT source, count(*) AS n FROM raw GROUP BY source"),
     "json_landing_listings": _after("clean", f"SELECT {_LISTING} FROM clean"),
     "json_landing_survivors": _SURVIVORS,
+    "json_landing_quarantine": _after(
+        "tagged",
+        "SELECT CASE WHEN fault = 'malformed record' OR (fault = 'no id') THEN NULL ELSE id END AS id, error "
+        "FROM tagged WHERE error IS NOT NULL",
+        tagged=_FAULTY,
+    ),
+    "json_landing_faulty_listings": _after("clean", f"SELECT {_LISTING} FROM clean", tagged=_FAULTY),
+    "json_landing_spam": _after("screened", "SELECT id, spam AS reason FROM screened WHERE spam IS NOT NULL", tagged=_FAULTY),
     "parquet_landing_survivors": _SURVIVORS,
     "normalize_price": _after("raw", f"SELECT id, {_PRICE} AS price FROM raw"),
     "normalize_rooms": _after("raw", f"SELECT id, {_ROOMS} AS rooms FROM raw"),
@@ -159,7 +198,11 @@ ORACLE: dict[str, str] = {
                               "round(stddev_pop(value), 4) AS sigma, round(3 * stddev_pop(value), 4) AS threshold "
                               "FROM events GROUP BY event_type",
     "sigma_event_users": _outliers("events", "value", "user_id", "event_id"),
-    "sigma_lineitem_parts": _outliers("lineitem", "l_extendedprice", "l_partkey", "l_orderkey, l_linenumber"),
+    "sigma_lineitem_parts": _outliers(
+        "(SELECT * REPLACE (CASE WHEN l_orderkey % 41 = 0 THEN l_extendedprice * 10 ELSE l_extendedprice END "
+        "AS l_extendedprice) FROM lineitem)",
+        "l_extendedprice", "l_partkey", "l_orderkey, l_linenumber",
+    ),
     "valid_listings": _after("judged", f"SELECT {_LISTING} FROM judged WHERE reason IS NULL"),
     "rejected_listings": _after("judged", f"SELECT {_LISTING}, reason FROM judged WHERE reason IS NOT NULL"),
     "validator_counts": _after(
@@ -201,16 +244,28 @@ SELECT (SELECT count(*) FROM tagged) AS raw,
        (SELECT count(*) FROM ranked WHERE copy = 1) AS "unique",
        (SELECT count(*) FROM ranked WHERE copy > 1) AS duplicates""",
     ),
+    "nightly_both_sinks": _after("batched", "SELECT id, batch_id, fingerprint, 'nightly' AS run_id FROM batched"),
     "incremental_survivors": _SURVIVORS,
+    "incremental_two_streams": _after(
+        "survivors", "SELECT id, fingerprint FROM survivors",
+        stats=_by_source("stats"), judged=_by_source("judged"), ranked=_by_source("ranked"),
+    ),
     "document_batches": _after("batched", "SELECT id, batch_id FROM batched"),
     "document_batch_sizes": _after(
         "batched", "SELECT batch_id, count(*) AS n_documents FROM batched GROUP BY batch_id"
     ),
     "document_sink": _after("batched", f"SELECT {_LISTING}, fingerprint, batch_id FROM batched"),
+    "document_sink_two_runs": _after(
+        "batched", "SELECT id, batch_id, source AS run_id FROM batched", batched=_by_source("batched")
+    ),
+    "document_writer_batches": _after("batched", "SELECT 'nightly' AS run_id, batch_id, id FROM batched"),
     "document_load_stats": _after(
-        "batched", "SELECT count(*) AS total_loaded, count(DISTINCT batch_id) AS batch_count FROM batched"
+        "batched",
+        "SELECT count(*) AS total_loaded, count(DISTINCT batch_id) AS batch_count, "
+        "round(count(*) / CAST(count(DISTINCT batch_id) AS DOUBLE), 4) AS average_batch FROM batched",
     ),
     "warehouse_append": _after("survivors", f"SELECT {_LISTING}, fingerprint, 'nightly' AS run_id FROM survivors"),
+    "warehouse_two_runs": _after("survivors", "SELECT id, fingerprint, source AS run_id FROM survivors"),
     "warehouse_load_stats": _after(
         "survivors", "SELECT count(*) AS total_loaded, count(*) AS rows_inserted, 'p.d.t' AS table_id FROM survivors"
     ),

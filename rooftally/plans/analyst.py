@@ -22,9 +22,8 @@ SELECT city, deal_type, place, id, price FROM ranked WHERE place <= 3
 CITY_SHARE = """
 WITH per_city AS (
   SELECT deal_type, city, count(*) AS n FROM {table} GROUP BY deal_type, city
-), per_deal AS (
-  SELECT deal_type, count(*) AS total FROM {table} GROUP BY deal_type
 )
-SELECT c.deal_type, c.city, c.n AS n_listings, round(c.n / CAST(d.total AS DOUBLE), 6) AS share
-FROM per_city c JOIN per_deal d ON c.deal_type = d.deal_type
+SELECT deal_type, city, n AS n_listings,
+       round(n / CAST(sum(n) OVER (PARTITION BY deal_type) AS DOUBLE), 6) AS share
+FROM per_city
 """

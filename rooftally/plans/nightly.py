@@ -5,39 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedup import FINGERPRINT_COLUMN, deduplicate, keep_first, later_copies, with_fingerprint
+from ..operators.dedup import FINGERPRINT_COLUMN, keep_first, later_copies, with_fingerprint
 from ..operators.metrics import rejects_by_kind
 from ..operators.normalize import Normalized, split_normalized, tag_normalized
-from ..operators.validate import (
-    REASON_COLUMN, SPAM_COLUMN, Validated, judge, price_stats, screen, split_judged, validate,
-)
+from ..operators.sigma import reported
+from ..operators.validate import REASON_COLUMN, SPAM_COLUMN, judge, price_stats, screen, split_judged
 from ..schema import DOCUMENT_BATCH_LIMIT, ERROR_COLUMN, SEQ_COLUMN
-from ..sinks.documents import DocumentWriter, LoaderStats, load_documents
+from ..sinks.documents import DocumentWriter, LoaderStats, guard_size, load_documents
 from ..sinks.warehouse import WarehouseStats, append_to_warehouse
 from ..sources.landing import ordered_union, source_counts
-from ..staging import run_folder, stage
+from ..staging import discard, run_folder, stage
 
 
-@dataclass(frozen=True)
 class NightlyStages:
-    """The run as DataFrames, nothing written."""
+    """The run up to its sinks, through stage tables in ``folder``.
 
-    normalized: Normalized
-    validated: Validated
-    fingerprinted: DataFrame
-    unique: DataFrame
+    ``screened`` holds every input row, cleaned and spam-checked: the sources are
+    parsed once, and statistics, verdicts and counts read only the columns they
+    need from it. ``stats`` are written too, so those reported are those that
+    judged. ``unique`` holds the survivors, and is written when first asked for.
+    """
+
+    def __init__(self, sources: Sequence[DataFrame], folder: str) -> None:
+        self.folder = folder
+        # Normalizing is row by row, so each source is cleaned under its own column types and the union is of clean rows.
+        self.screened = stage(screen(ordered_union(*map(tag_normalized, sources))), f"{folder}/screened")
+        self.normalized: Normalized = split_normalized(self.screened)
+        self.stats = stage(price_stats(self.screened), f"{folder}/stats")
+        self.judged = judge(self.screened, self.stats)
+        self.valid, self.rejected = split_judged(self.judged)
+        self.fingerprinted = with_fingerprint(self.valid)
+
+    @cached_property
+    def unique(self) -> DataFrame:
+        return stage(keep_first(self.fingerprinted, FINGERPRINT_COLUMN, SEQ_COLUMN), f"{self.folder}/unique")
+
+    @property
+    def duplicates(self) -> DataFrame:
+        return later_copies(self.fingerprinted, FINGERPRINT_COLUMN, SEQ_COLUMN)
 
 
 @dataclass(frozen=True)
 class NightlyResult:
-    folder: str                # holds the stage tables
+    folder: str                # holds the stage tables that the DataFrames below read
     quarantine: DataFrame
-    stats: DataFrame           # n, μ, σ per deal type
+    stats: DataFrame           # n, μ, σ per deal type, the ones that judged the rows
     valid: DataFrame
     rejected: DataFrame
     unique: DataFrame
@@ -48,19 +66,13 @@ class NightlyResult:
     documents: LoaderStats | None
     warehouse: WarehouseStats | None
 
+    def close(self) -> None:
+        """Remove the stage tables. The DataFrames cannot be read after that; counts and sinks stay."""
+        discard(self.unique.sparkSession, self.folder)
 
-def nightly_stages(sources: Sequence[DataFrame]) -> NightlyStages:
-    """The whole run as one plan.
 
-    Normalizing is row by row, so each source is cleaned under its own column
-    types and the union is of clean rows.
-    """
-    normalized = split_normalized(ordered_union(*map(tag_normalized, sources)))
-    validated = validate(normalized.tagged)
-    fingerprinted = with_fingerprint(validated.valid)
-    return NightlyStages(
-        normalized, validated, fingerprinted, keep_first(fingerprinted, FINGERPRINT_COLUMN, SEQ_COLUMN)
-    )
+def nightly_stages(sources: Sequence[DataFrame], folder: str | None = None) -> NightlyStages:
+    return NightlyStages(sources, folder or run_folder(sources[0].sparkSession, "nightly"))
 
 
 def run_nightly(
@@ -69,26 +81,16 @@ def run_nightly(
     warehouse_path: str | None = None, warehouse_table: bool = False,
     batch_size: int = DOCUMENT_BATCH_LIMIT,
 ) -> NightlyResult:
-    """Run everything, through two stage tables.
-
-    ``screened`` holds every input row, cleaned and spam-checked: the sources
-    are parsed once, and statistics, verdicts and counts read only the columns
-    they need from it. ``unique`` holds the survivors, read by both sinks. Each
-    is written by one job and survives the loss of any executor.
-    """
+    """Run everything. Both sinks read the written survivors, at the same time."""
+    guard_size(batch_size)
     spark = sources[0].sparkSession
-    folder = folder or run_folder(spark, "nightly")
-
-    screened = stage(screen(ordered_union(*map(tag_normalized, sources))), f"{folder}/screened")
-    stats = price_stats(screened)
-    judged = judge(screened, stats)
-    valid, rejected = split_judged(judged)
-    unique = stage(deduplicate(valid), f"{folder}/unique")
+    stages = nightly_stages(sources, folder)
+    folder, unique = stages.folder, stages.unique
 
     def to_documents() -> LoaderStats | None:
         if documents is None:
             return None
-        return load_documents(unique, documents, batch_size=batch_size, folder=f"{folder}/documents")
+        return load_documents(unique, documents, run_id, batch_size=batch_size, folder=f"{folder}/documents")
 
     def to_warehouse() -> WarehouseStats | None:
         if warehouse_path is None and not warehouse_table:
@@ -99,18 +101,18 @@ def run_nightly(
     with ThreadPoolExecutor(2) as sinks:
         document_load = sinks.submit(inheritable_thread_target(spark)(to_documents))
         warehouse_load = sinks.submit(inheritable_thread_target(spark)(to_warehouse))
-        counts = _counts(judged, unique)
+        counts = _counts(stages.judged, unique)
 
     return NightlyResult(
         folder=folder,
-        quarantine=split_normalized(screened).quarantine,
-        stats=stats,
-        valid=valid,
-        rejected=rejected,
+        quarantine=stages.normalized.quarantine,
+        stats=reported(stages.stats),
+        valid=stages.valid,
+        rejected=stages.rejected,
         unique=unique.drop(SEQ_COLUMN),
-        duplicates=later_copies(with_fingerprint(valid), FINGERPRINT_COLUMN, SEQ_COLUMN),
-        sources=source_counts(screened),
-        rejects=rejects_by_kind(rejected),
+        duplicates=stages.duplicates,
+        sources=source_counts(stages.screened),
+        rejects=rejects_by_kind(stages.rejected),
         counts=counts,
         documents=document_load.result(),
         warehouse=warehouse_load.result(),

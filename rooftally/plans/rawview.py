@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import DEAL_TYPES, SOURCES
-from ..session import spread
 from ..sources.landing import with_sequence
 from ..tables import read_table
 
@@ -50,7 +49,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region = (
         read_table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")
     )
-    priced = spread(orders, "o_orderkey").selectExpr(
+    priced = orders.selectExpr(
         "*", "bigint(floor(if(o_orderkey % 2 = 0, 800000 + o_totalprice * 10, 3000 + o_totalprice / 60))) AS base"
     )
     return (

@@ -9,9 +9,8 @@ from pyspark.sql import types as T
 # Source tags, in input order: rows of an earlier source win over later ones.
 SOURCES = ("yad2", "facebook")
 
-# Deal types and property types seen in the feeds (informative; not enforced).
+# Deal types seen in the feeds (informative; not enforced).
 DEAL_TYPES = ("למכירה", "להשכרה")
-PROPERTY_TYPES = ("דירה", "פנטהאוז", "קוטג'", "דופלקס", "דירת גן")
 
 # A description containing one of these (case-insensitive substring) is spam.
 # With several hits the first in this order is reported.
@@ -22,8 +21,6 @@ OUTLIER_SIGMA = 3.0          # a price further than this many σ from the mean i
 PRICE_BUCKET = 100_000       # fingerprint price granularity
 DOCUMENT_BATCH_LIMIT = 400   # documents per committed batch
 
-# --- End of fixed values. ---
-
 # A record without one of these keys cannot be normalized.
 REQUIRED_KEYS = ("source", "deal_type", "property_type")
 
@@ -44,6 +41,8 @@ LISTING = T.StructType([
     T.StructField("agent_phone", T.StringType()),
 ])
 
+# --- End of fixed values. ---
+
 LISTING_COLUMNS = tuple(LISTING.names)
 
 # Position of a row in the ordered input: sources in rank order, files by path,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+from pathlib import Path
+
+from pyspark.sql import SparkSession
 
 # Runtime SQL settings; each can be set on a running session.
 RUNTIME = {
@@ -17,6 +20,15 @@ RUNTIME = {
 }
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where it is, when it is not installed on them."""
+    root = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
@@ -37,13 +49,3 @@ def local_session(
     for key, value in (settings or {}).items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` over all cores, when it arrives in fewer splits than there are cores.
-
-    Small files come as one split, and one task would do all the parsing. Large
-    inputs have more splits than cores and stay as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -15,13 +15,17 @@ from ..operators.batches import (
     BATCH_COLUMN, INDEX_COLUMN, assign_batches, batch_count, number_in_order,
 )
 from ..schema import DOCUMENT_BATCH_LIMIT, SEQ_COLUMN
-from ..staging import run_folder
+from ..staging import discard, run_folder
+from .slices import replace_slice
 
 
 class DocumentWriter(Protocol):
-    """A client for a document store. One is opened per task, on the executor."""
+    """A client for a document store. One is opened per task, on the executor.
 
-    def commit(self, batch_id: int, documents: list[dict]) -> None: ...
+    Batch ids start at 1 in every run, so a batch is known by its run and its id.
+    """
+
+    def commit(self, run_id: str, batch_id: int, documents: list[dict]) -> None: ...
 
     def close(self) -> None: ...
 
@@ -42,6 +46,12 @@ def guard_batch(batch_id: int, size: int, limit: int) -> None:
         raise RuntimeError(f"batch {batch_id} has {size} documents, more than the limit of {limit}")
 
 
+def guard_size(batch_size: int, limit: int = DOCUMENT_BATCH_LIMIT) -> None:
+    """Refuse batches that no target may take, before anything is written."""
+    if not 1 <= batch_size <= limit:
+        raise ValueError(f"batches of {batch_size} documents are outside 1 to the limit of {limit}")
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
     """Consecutive rows of equal batch id, across Arrow batch boundaries."""
     current, pending = None, []
@@ -57,14 +67,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]
         yield current, pending
 
 
-def _committer(open_writer: Callable[[], DocumentWriter], limit: int):
+def _committer(open_writer: Callable[[], DocumentWriter], run_id: str, limit: int):
     def commit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, committed = None, []
         try:
             for batch_id, documents in _runs(batches):
                 guard_batch(batch_id, len(documents), limit)
                 writer = writer or open_writer()
-                writer.commit(batch_id, documents)
+                writer.commit(run_id, batch_id, documents)
                 committed.append((batch_id, len(documents)))
         finally:
             if writer is not None:
@@ -82,28 +92,34 @@ def _whole_batches(batched: DataFrame) -> DataFrame:
 
 
 def load_documents(
-    df: DataFrame, target: str | Callable[[], DocumentWriter],
+    df: DataFrame, target: str | Callable[[], DocumentWriter], run_id: str,
     order: str = SEQ_COLUMN, batch_size: int = DOCUMENT_BATCH_LIMIT, folder: str | None = None,
 ) -> LoaderStats:
     """Commit all rows in batches of ``batch_size``, consecutive in ``order``.
 
     ``target`` is a function opening a writer, or a path for offline use, where
-    the documents land as JSON lines with their ``batch_id``. A retried task
-    commits its batches again under the same ids, so a writer should upsert.
-    ``folder`` holds the sorted copy; by default a fresh one in the shared folder.
+    the documents land as JSON lines with their ``batch_id``, in a slice for each
+    ``run_id``: other runs stay, and repeating a run replaces its own slice, an
+    empty repeat included. A retried task commits its batches again under the same
+    run and batch ids, so a writer should upsert. ``folder`` holds the sorted copy;
+    by default a fresh one in the shared folder, removed at the end.
     """
     started = time.monotonic()
-    numbered = number_in_order(df, order, folder or run_folder(df.sparkSession, "documents"))
-    if numbered.total == 0:
-        return LoaderStats(0, 0, 0.0)
-
-    rows = _whole_batches(assign_batches(numbered.rows, batch_size))
+    guard_size(batch_size)
+    spark = df.sparkSession
+    scratch = folder or run_folder(spark, "documents")
+    numbered = number_in_order(df, order, scratch)
+    batched = assign_batches(numbered.rows, batch_size)
     if isinstance(target, str):
-        rows.drop(INDEX_COLUMN, order).write.mode("overwrite").json(target)
+        replace_slice(batched.drop(INDEX_COLUMN, order), target, run_id, "json")
         total, batches = numbered.total, batch_count(numbered.total, batch_size)
-    else:
-        commits = rows.drop(INDEX_COLUMN, order).mapInArrow(
-            _committer(target, DOCUMENT_BATCH_LIMIT), "batch_id bigint, n_documents bigint"
+    elif numbered.total:
+        commits = _whole_batches(batched).drop(INDEX_COLUMN, order).mapInArrow(
+            _committer(target, run_id, DOCUMENT_BATCH_LIMIT), "batch_id bigint, n_documents bigint"
         )
         total, batches = commits.agg(F.sum("n_documents"), F.count(F.lit(1))).first()
-    return LoaderStats(total, batches, round(time.monotonic() - started, 3))
+    else:
+        total, batches = 0, 0
+    if folder is None:
+        discard(spark, scratch)
+    return LoaderStats(total, batches, round(time.monotonic() - started, 3) if total else 0.0)

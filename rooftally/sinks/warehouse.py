@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN_COLUMN = "run_id"
+from .slices import RUN_COLUMN, counting, replace_slice, slice_folder
 
 # --- Fixed values: environment variables naming the parts of the table id. ---
 PROJECT_VARIABLE = "BQ_PROJECT_ID"
@@ -50,41 +50,32 @@ def append_to_warehouse(
     df: DataFrame, run_id: str, path: str | None = None, format: str = "parquet",
     project: str | None = None, dataset: str | None = None, table: str | None = None,
 ) -> WarehouseStats:
-    """Append ``df`` as the slice ``run_id``; repeating a run replaces its own slice only.
+    """Append ``df`` as the slice ``run_id``; repeating a run replaces its own slice only, an empty repeat included.
 
     With ``path`` the slice is written there as files of ``format`` (``parquet``
     or ``json``). Otherwise it goes to the session catalog's ``dataset_table``,
-    the project being part of the reported id only.
+    the project being part of the reported id only. ``total_loaded`` counts the
+    rows that came in, ``rows_inserted`` those that the table then has of the run.
     """
     started = time.monotonic()
     target = table_id(project, dataset, table)
-    if df.isEmpty():
-        return WarehouseStats(0, 0, target, 0.0)
-
     spark = df.sparkSession
-    stamped = df.withColumn(RUN_COLUMN, F.lit(run_id))
     if path is not None:
-        _replace_slice(stamped, path, format)
-        written = spark.read.schema(stamped.schema).format(format).load(path)
+        came = replace_slice(df, path, run_id, format)
+        stored = spark.read.schema(df.schema).format(format).load(slice_folder(path, run_id)).count()
     else:
         _, dataset_part, table_part = target.rsplit(".", 2)
         name = f"{dataset_part}_{table_part}"
+        counted, seen = counting(df)
         if spark.catalog.tableExists(name):
             # The writer's insertInto ignores the overwrite mode; naming the partition does not.
             columns = [c for c in spark.table(name).columns if c != RUN_COLUMN]
             spark.sql(
                 f"INSERT OVERWRITE TABLE {name} PARTITION ({RUN_COLUMN} = :run) SELECT * FROM {{rows}}",
-                args={"run": run_id}, rows=df.select(*columns),
+                args={"run": run_id}, rows=counted.select(*columns),
             )
         else:
-            stamped.write.partitionBy(RUN_COLUMN).format(format).saveAsTable(name)
-        written = spark.table(name)
-    rows = written.where(F.col(RUN_COLUMN) == run_id).count()
-    return WarehouseStats(rows, rows, target, round(time.monotonic() - started, 3))
-
-
-def _replace_slice(stamped: DataFrame, path: str, format: str) -> None:
-    (
-        stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RUN_COLUMN).format(format).save(path)
-    )
+            counted.withColumn(RUN_COLUMN, F.lit(run_id)).write.partitionBy(RUN_COLUMN).format(format).saveAsTable(name)
+        came = seen.get["rows"]
+        stored = spark.table(name).where(F.col(RUN_COLUMN) == run_id).count()
+    return WarehouseStats(came, stored, target, round(time.monotonic() - started, 3))

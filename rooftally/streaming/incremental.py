@@ -19,6 +19,7 @@ from ..plans.nightly import nightly_stages
 from ..schema import LISTING_COLUMNS, SEQ_COLUMN
 from ..sinks.warehouse import append_to_warehouse
 from ..sources.landing import BRONZE, open_lines
+from ..staging import discard, run_folder
 
 
 def _stream(spark: SparkSession, folder: str, rank: int) -> DataFrame:
@@ -33,18 +34,26 @@ def _stream(spark: SparkSession, folder: str, rank: int) -> DataFrame:
     )
 
 
+def _stream_id(batch: DataFrame) -> str:
+    """The id of the stream that ``batch`` belongs to, which Spark sets on the thread that hands it over."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def run_available(spark: SparkSession, landing: Sequence[str], table: str, progress: str) -> None:
     """Process every landing file not seen yet and append the survivors to ``table``.
 
     ``landing`` holds one folder of JSON lines per source, in rank order;
-    ``progress`` is the stream's checkpoint. The micro-batch number is the run
-    id, so a batch repeated after a failure replaces its own slice.
+    ``progress`` is the stream's checkpoint. The run id is the stream's id, which
+    the checkpoint keeps, and the number of the micro-batch: a batch repeated after
+    a failure replaces its own slice, and streams that share a table do not meet.
     """
     def load(batch: DataFrame, number: int) -> None:
         # The running id in the order key is only allowed inside the micro-batch.
         rows = open_lines(batch, F.col("_rank"), "_file", "_block")
-        unique = nightly_stages([rows]).unique
-        append_to_warehouse(unique.drop(SEQ_COLUMN), f"batch-{number}", table)
+        folder = run_folder(spark, "incremental-run")
+        unique = nightly_stages([rows], folder).unique
+        append_to_warehouse(unique.drop(SEQ_COLUMN), f"{_stream_id(batch)}-{number}", table)
+        discard(spark, folder)
 
     arriving = reduce(DataFrame.unionByName, [_stream(spark, f, rank) for rank, f in enumerate(landing)])
     query = (

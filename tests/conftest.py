@@ -17,10 +17,10 @@ SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = StructType([*LISTING.fields, StructField("_seq", SEQ)])
 
 BASE = {
-    "id": "test-id", "source": "yad2", "city": "תל אביב", "neighborhood": "פלורנטין", "street": "רחוב הרצל 10",
-    "deal_type": "למכירה", "property_type": "דירה", "rooms": 3.0, "floor": 2, "size_sqm": 80.0,
-    "price": 2_000_000.0, "description": "דירה יפה", "scraped_at": "2024-01-15T23:00:00+00:00",
-    "agent_phone": "050-1234567",
+    "id": "row", "source": "yad2", "city": "עכו", "neighborhood": "הצפון הישן", "street": "שדרות האלון 7",
+    "deal_type": "למכירה", "property_type": "קוטג'", "rooms": 4.5, "floor": 1, "size_sqm": 117.0,
+    "price": 1_740_000.0, "description": "גינה ושתי מרפסות", "scraped_at": "2031-03-09T04:30:00+00:00",
+    "agent_phone": "08-0000000",
 }
 
 

@@ -11,7 +11,7 @@ from rooftally.sources import ordered_union, scan_json, scan_table, source_count
 GOOD = {
     "id": "a", "source": "yad2", "city": " חיפה  ", "neighborhood": "הדר", "street": "הרצל  1", "deal_type": "למכירה",
     "property_type": "דירה", "rooms": "3,5", "floor": 2.7, "size_sqm": "80.5", "price": "₪2,500,000",
-    "description": "דירה", "scraped_at": "2024-01-15T23:00:00+00:00", "agent_phone": "050-1234567",
+    "description": "דירה", "scraped_at": "2030-05-06T07:08:09", "agent_phone": "08-5550000",
 }
 
 
