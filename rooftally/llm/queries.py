@@ -128,6 +128,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# Base32 of a digest: its hex digits as bits, five at a time.
+ARCHIVES = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM payloads),
+spelled AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+    lpad(bin(strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4, '0')), '') AS bits
+  FROM hashed
+),
+digests AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_sum(list_transform(range(1, 6), lambda b:
+      CAST(substr(bits, 5 * k + b, 1) AS INTEGER) * power(2, 5 - b))) AS INTEGER) + 1, 1)), '') AS payload_digest
+  FROM spelled
+),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM digests)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM kept
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": exact_dedup,
     "op2_simhash": simhash,
@@ -144,4 +166,5 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op3_decontamination": DECONTAMINATION,
+    "op5_warc": ARCHIVES,
 }
