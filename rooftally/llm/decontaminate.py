@@ -1,10 +1,11 @@
 """Benchmark decontamination through a positional index of training text.
 
-Test items are cut into windows of consecutive words. The rarest words of each window, by their
-counts over all documents, are its anchors; the index holds the postings (word, document, position)
-of anchors alone. A window can only occur where the positions of its anchors, less their places in
-the window, agree, so the lists are intersected from the rarest on; what is left is compared with the
-words of the document. Everything is a DataFrame expression.
+Test items are cut into windows of consecutive words. The index holds the postings (word, document,
+position) of the words in them, written once from a single reading of all texts. The rarest words of
+each window, by their counts over all documents, are its anchors: a window can only occur where the
+positions of its anchors, less their places in the window, agree, so their lists are intersected from
+the rarest on, and what is left is compared with the words of the document. Everything is a DataFrame
+expression.
 """
 
 from __future__ import annotations
@@ -31,15 +32,18 @@ def _marked(documents: DataFrame, id_column: str, text_column: str) -> DataFrame
     """Rows by id and a hash of their text: rows that agree in both have the same words, so they may share results."""
     return documents.select(
         F.col(f"`{id_column}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))).alias("_mark"),
-        words(F.col(f"`{text_column}`")).alias("_all"),
+        F.col(f"`{text_column}`").alias("_text"),
     )
 
 
-def _postings(rows: DataFrame, vocabulary: DataFrame, bits: int) -> DataFrame:
-    """``_id``, ``_mark``, ``_word``, ``_position`` of the words in ``vocabulary``, and some few others."""
-    placed = rows.select("_id", "_mark", F.posexplode("_all").alias("_position", "_word"))
-    table = bit_table(vocabulary, F.col("_word"), bits)
-    return with_bit(placed, table, F.col("_word"), bits, "_maybe").where("_maybe").select("_id", "_mark", "_word", "_position")
+def _among(rows: DataFrame, vocabulary: DataFrame, bits: int) -> DataFrame:
+    """``rows`` whose ``_word`` is in ``vocabulary``, and some few others.
+
+    Words are told apart by a number below ``bits``, so at most as many rows are broadcast.
+    """
+    slot = F.pmod(F.xxhash64("_word"), F.lit(bits))
+    slots = vocabulary.select(slot.alias("_slot")).distinct()
+    return rows.withColumn("_slot", slot).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
 
 
 def anchors_of(phrases: DataFrame, counts: DataFrame) -> DataFrame:
@@ -60,21 +64,33 @@ def anchors_of(phrases: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 class PhraseIndex:
-    """The postings of the anchors of ``phrases`` over all of ``documents``, in the shared folder."""
+    """The postings over all of ``documents`` of the words in ``phrases``, in the shared folder.
+
+    The empty word, which no text has, is posted at the end of every document, so the index knows all
+    documents and how many words they have.
+    """
 
     def __init__(self, documents: DataFrame, phrases: DataFrame, id_column: str = "doc_id", text_column: str = "text", bits: int = FILTER_BITS) -> None:
-        self.rows = _marked(documents, id_column, text_column)
-        self.phrases = phrases
         self.bits = bits
+        self.rows = _marked(documents, id_column, text_column)
         vocabulary = staged(phrases.select(F.explode("_words").alias("_word")).distinct(), "vocabulary")
+        ended = F.array_append(words(F.col("_text")), F.lit(""))
+        placed = self.rows.select("_id", "_mark", F.posexplode(ended).alias("_position", "_word"))
+        nothing = documents.sparkSession.createDataFrame([("",)], "_word string")
+        self.index = staged(_among(placed, vocabulary.union(nothing), bits), "postings")
         # Counted before the shuffle: a task sends a row for each word of the tests, however frequent.
-        times = _postings(self.rows, vocabulary, bits).groupBy("_word").agg(F.count(F.lit(1)).alias("_times"))
+        times = self.index.groupBy("_word").agg(F.count(F.lit(1)).alias("_times"))
         counts = staged(times.join(vocabulary, "_word", "left_semi"), "word-counts")
         self.anchors = staged(anchors_of(phrases, counts), "anchors")
         wanted = staged(
             self.anchors.select("_word").union(self.anchors.where("_next IS NOT NULL").select("_next")).distinct(), "anchor-words",
         )
-        self.postings = staged(_postings(self.rows, wanted, bits), "postings")
+        self.postings = staged(_among(self.index.where("_word <> ''"), wanted, bits), "anchor-postings")
+
+    @property
+    def documents(self) -> DataFrame:
+        """``_id``, ``_mark`` and ``n_words`` of every row."""
+        return self.index.where("_word = ''").select("_id", "_mark", F.col("_position").cast("bigint").alias("n_words"))
 
     def candidates(self) -> DataFrame:
         """``_id``, ``_mark``, ``_phrase``, ``_start``, ``_size`` where the anchors of a phrase stand as they do in it."""
@@ -129,15 +145,12 @@ def contamination(
     index = PhraseIndex(documents, phrases, id_column, text_column, bits)
     candidates = staged(index.candidates(), "candidates")
 
-    # Words of the documents that have a candidate, and of some few others, are kept to be compared.
+    # Words of the documents that have a candidate, and of some few others, are read again to be compared.
     table = bit_table(candidates, F.col("_mark"), bits)
-    rows = with_bit(index.rows, table, F.col("_mark"), bits, "_maybe").select(
-        "_id", "_mark", F.size("_all").cast("bigint").alias("n_words"), F.when(F.col("_maybe"), F.col("_all")).alias("_all"),
-    )
-    rows = staged(rows, "document-words")
+    suspects = with_bit(index.rows, table, F.col("_mark"), bits, "_maybe").where("_maybe").select("_id", "_mark", words(F.col("_text")).alias("_all"))
     per_document = candidates.groupBy("_id", "_mark").agg(F.collect_set(F.struct("_start", "_size", "_phrase")).alias("_candidates"))
     places = per_document.select(F.col("_id").alias("_of"), F.col("_mark").alias("_of_mark"), "_candidates")
-    checked = rows.where("_all IS NOT NULL").join(places, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")))
+    checked = suspects.join(places, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")))
     found = F.filter(
         "_candidates", lambda c: F.array_join(F.slice(F.col("_all"), c["_start"] + 1, c["_size"]), " ") == c["_phrase"],
     )
@@ -151,7 +164,7 @@ def contamination(
     marks = hits.alias("h").join(
         items.alias("i"), F.col("h._id").eqNullSafe(F.col("i._id")) & (F.col("h._mark") == F.col("i._mark")), "left",
     ).select(F.col("h._id").alias("_of"), F.col("h._mark").alias("_of_mark"), "_hit", "_items")
-    joined = rows.drop("_all").join(staged(marks, "marks"), F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")), "left")
+    joined = index.documents.join(staged(marks, "marks"), F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")), "left")
     return joined.select(
         F.col("_id").alias(id_column), "n_words", F.coalesce("_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("_items", F.array().cast("array<string>")).alias("item_ids"), F.col("_hit").isNotNull().alias("contaminated"),
