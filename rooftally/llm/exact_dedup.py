@@ -49,6 +49,8 @@ def copy_groups(
     groups = hashed.where("_open").groupBy("_digest").agg(
         F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"),
     ).where("_size > 1").withColumnRenamed("_digest", "_group")
+    # Written first, so that the join below reads both sides from exchanges of its own and can split a hot group.
+    groups = staged(groups, "copy-groups")
     # Rows without a group are spread by their id, not gathered under a null.
     by = F.coalesce(F.when(F.col("_open"), F.col("_digest")), F.col("_id").cast("string"), F.lit(""))
     joined = hashed.withColumn("_by", by).join(groups, F.col("_by") == F.col("_group"), "left")
