@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..staging import run_folder, stage
+from ..session import importable
+from ..staging import run_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -19,11 +17,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package when it is not installed on them."""
-    root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-    return spark
+    return importable(spark)
 
 
 def fold(text: Column) -> Column:
@@ -42,7 +36,9 @@ def words(text: Column) -> Column:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe when executors are lost."""
-    return stage(df, run_folder(df.sparkSession, label))
+    path = run_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bit_table(keys: DataFrame, key: Column, bits: int) -> DataFrame:

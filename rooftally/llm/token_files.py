@@ -28,6 +28,7 @@ from .tokenize import END_ID, encoder, tokenizer_path
 MAGIC = b"TOKHUF01"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24      # a file is closed at the first document that ends beyond as many
+REMEMBERED = 700_000    # pieces; tasks here have little else to hold
 _ENCODE_TEXTS = 256
 _FOOTER = struct.Struct("<QQQ")
 
@@ -38,7 +39,7 @@ def encode_texts(documents: DataFrame, id_column: str, text_column: str, tokeniz
     rows = documents.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text_column}`").alias("_text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(path, REMEMBERED)
         narrow = own.vocabulary <= 1 << 16
         for whole in batches:
             for start in range(0, whole.num_rows, _ENCODE_TEXTS):

@@ -114,6 +114,6 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """The worker's encoder of a tokenizer file; it lives on from task to task."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, remembered)
