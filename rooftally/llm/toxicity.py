@@ -2,7 +2,8 @@
 
 Labels are given for documents, but what offends is a sentence. Each sentence gets a linear score
 over hashed words and word beginnings; a document is toxic unless none of its sentences is:
-1 - prod(1 - p), the noisy-or. Training fits sentence weights to the labels of documents through
+1 - prod(1 - p), the noisy-or. A sentence without any feature that tells toxic documents apart has
+probability 0, so length alone never makes a document toxic. Training fits sentence weights to the labels of documents through
 that, so the same weights point at the sentences.
 """
 
@@ -33,7 +34,7 @@ _KNOWN = 200_000         # words whose score a worker remembers
 
 def features(word: bytes) -> list[int]:
     """Hashed features of a word: itself, and its beginnings when it is longer."""
-    word = word.strip(_EDGE)
+    word = word.strip(_EDGE + b"\n")
     found = [zlib.crc32(word) % DIMENSION] if word else []
     for size in BEGINNINGS:
         if len(word) > size:
@@ -56,13 +57,18 @@ def ends_sentence(word: bytes) -> bool:
 
 @dataclass
 class ToxicityModel:
-    """A weight for each feature and the bias of a sentence."""
+    """A weight for each feature and the bias of a sentence.
+
+    ``telling`` marks the features that are evidence; a sentence without any has probability 0. Without
+    it every word is evidence, a bare line break is not.
+    """
 
     weights: np.ndarray
     bias: float
+    telling: np.ndarray | None = None
 
     def scorer(self) -> _Scorer:
-        return _Scorer(self.weights, self.bias)
+        return _Scorer(self.weights, self.bias, self.telling)
 
     def score(self, text: Column) -> Column:
         """The probability that ``text`` is toxic; texts without words, and null, get that of no sentence, 0."""
@@ -100,15 +106,20 @@ class ToxicityModel:
 
 
 class _Scorer(dict):
-    """Word scores as they are met."""
+    """Word scores as they are met; that of a word that is no evidence is not a number."""
 
-    def __init__(self, weights: np.ndarray, bias: float) -> None:
+    def __init__(self, weights: np.ndarray, bias: float, telling: np.ndarray | None = None) -> None:
         self.weights, self.bias = weights.tolist(), bias
+        self.telling = None if telling is None else telling.tolist()
 
     def __missing__(self, word: bytes) -> float:
-        weights, value = self.weights, 0.0
+        weights, telling, value = self.weights, self.telling, 0.0
+        evident = word != b"\n" if telling is None else False
         for feature in features(word):
             value += weights[feature]
+            evident = evident or telling[feature]
+        if not evident:
+            value = np.nan
         if len(self) < _KNOWN:
             self[word] = value
         return value
@@ -120,7 +131,9 @@ class _Scorer(dict):
         scores = np.fromiter(map(self.__getitem__, found), np.float64, len(found))
         ends = np.fromiter(map(ends_sentence, found), bool, len(found))
         starts = np.flatnonzero(np.concatenate([[True], ends[:-1]]))
-        return np.add.reduceat(scores, starts) + self.bias
+        evident = ~np.isnan(scores)
+        logits = np.add.reduceat(np.where(evident, scores, 0.0), starts) + self.bias
+        return np.where(np.logical_or.reduceat(evident, starts), logits, -np.inf)
 
     def document(self, text: str | None) -> float:
         logits = self.logits(text)
@@ -136,11 +149,11 @@ class _Scorer(dict):
 
 
 def fit(rows: pd.DataFrame, epochs: int = EPOCHS) -> ToxicityModel:
-    """A model from ``text``, ``label`` and ``weight``. Without both labels it gives every sentence the same low score."""
+    """A model from ``text``, ``label`` and ``weight``. Without both labels no feature is evidence, so it gives every text 0."""
     weights = np.zeros(DIMENSION)
     labels = rows["label"].to_numpy(np.float64)
     if not len(rows) or labels.min() == labels.max():
-        return ToxicityModel(weights.astype(np.float32), -12.0)
+        return ToxicityModel(weights.astype(np.float32), -12.0, np.zeros(DIMENSION, bool))
     cache: dict[bytes, list[int]] = {}
 
     def features_of(word: bytes) -> list[int]:
@@ -151,8 +164,7 @@ def fit(rows: pd.DataFrame, epochs: int = EPOCHS) -> ToxicityModel:
                 cache[word] = ids
         return ids
 
-    # Only features that toxic documents hold beyond chance take part: a clean sentence then has the bias
-    # alone, and the many sentences of a long document do not add up to an alarm.
+    # Only features that toxic documents hold beyond chance take part; sentences without any are left out.
     by_label = np.zeros((2, DIMENSION), dtype=np.int64)
     for text, label in zip(rows["text"], labels):
         held = set()
@@ -176,8 +188,9 @@ def fit(rows: pd.DataFrame, epochs: int = EPOCHS) -> ToxicityModel:
             sentences += ends_sentence(word)
         sentences += bool(found) and not ends_sentence(found[-1])
         documents += [at] * (sentences - first)
-    documents = np.array(documents, np.int64)
     owner, feature = np.divmod(np.unique(np.array(cells, np.int64)), DIMENSION)
+    held, owner = np.unique(owner, return_inverse=True)
+    documents, sentences = np.array(documents, np.int64)[held], len(held)
 
     importance = rows["weight"].to_numpy(np.float64)
     importance = importance / importance.mean()
@@ -198,7 +211,7 @@ def fit(rows: pd.DataFrame, epochs: int = EPOCHS) -> ToxicityModel:
         bias_square += slope_bias ** 2
         bias -= slope_bias / np.sqrt(bias_square)
         np.maximum(weights, 0, out=weights)
-    return ToxicityModel(weights.astype(np.float32), float(bias))
+    return ToxicityModel(weights.astype(np.float32), float(bias), usable & (weights > 0))
 
 
 def is_held_out(id_column: Column, parts: int, part: int) -> Column:

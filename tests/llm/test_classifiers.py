@@ -120,3 +120,14 @@ def test_learning_ignores_forbidden_null_and_repeated_labels(spark, documents):
 def test_held_out_of_null(spark):
     row = spark.range(1).select(toxicity.is_held_out(F.lit(None).cast("bigint"), 4, 2).alias("x")).first()
     assert row.x is False
+
+
+def test_length_alone_is_no_evidence():
+    rows = toxic_rows()
+    # Noisy labels: one in ten of the clean documents is called toxic.
+    rows.loc[rows.index[rows["label"] == 0][::10], "label"] = 1
+    scorer = toxicity.fit(rows).scorer()
+    clean = "w1 w2 w3. the day is mild.\n\n" * 100_000
+    assert scorer.document(clean) < 0.01
+    assert scorer.document(clean + "you utter blockhead of grottiness.") >= 0.3
+    assert toxicity.ToxicityModel(np.zeros(toxicity.DIMENSION, np.float32), -2.0).scorer().document("\n" * 1000) == 0
