@@ -27,7 +27,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class PieceEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids as bytes, special tokens taken as plain text.
+    """Encodes texts to little-endian unsigned 32-bit ids as bytes, as the library does without adding special tokens.
+
+    A text that contains an added token of the file is encoded whole, since the library takes it out first.
 
     Cutting at spaces holds for byte-level BPE that adds no prefix space; for any other tokenizer
     file the whole texts are encoded.
@@ -37,7 +39,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
         self.remembered = remembered
@@ -55,7 +58,8 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return [self._whole(text) for text in texts]
-        mixed = [bool(_MIXED.search(text)) or not text for text in texts]
+        whole = [bool(self.added and self.added.search(text)) for text in texts]
+        mixed = [alone or bool(_MIXED.search(text)) or not text for text, alone in zip(texts, whole)]
         parts = [[] if other else text.split(" ") for text, other in zip(texts, mixed)]
         get = self.known.get
         found = [list(map(get, pieces[1:])) for pieces in parts]
@@ -65,8 +69,8 @@ class PieceEncoder:
             for row, at in lost:
                 found[row][at] = fresh[parts[row][at + 1]]
         result = []
-        for text, other, pieces, ids in zip(texts, mixed, parts, found):
-            result.append(self._spaced(text) if other else (self._whole(pieces[0]) if pieces[0] else b"") + b"".join(ids))
+        for text, alone, other, pieces, ids in zip(texts, whole, mixed, parts, found):
+            result.append(self._whole(text) if alone else self._spaced(text) if other else (self._whole(pieces[0]) if pieces[0] else b"") + b"".join(ids))
         return result
 
     def _spaced(self, text: str) -> bytes:

@@ -172,3 +172,14 @@ def test_plan_gives_each_rank_one_slot():
     for length in range(1, 128):
         mine = np.flatnonzero(plan.length == length)
         assert (np.diff(plan.first[mine]) > 0).all() and (not len(mine) or plan.first[mine[0]] == 0)
+
+
+def test_added_tokens_are_encoded_as_the_library_does(documents):
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b  c", "<|endoftext|>", "<|endoftext|> a", "x <|endoftext| > y", "a b. <|endoftext|>, c d"]
+    want = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    got = PieceEncoder(tokenizer_path()).encode(["a b c, x", *texts])[1:]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+    rows = {row.doc_id: row for row in round_trip(documents(*texts)).collect()}
+    assert [rows[at].ids_crc32 for at in range(len(texts))] == [zlib.crc32(np.array([*ids, 0], "<u4").tobytes()) for ids in want]
