@@ -43,8 +43,13 @@ def features(word: bytes) -> list[int]:
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """Words between spaces, A-Z folded; a line break ends a sentence, so it is a word of its own."""
-    return list(filter(None, (text or "").encode().lower().replace(b"\n", b" \n ").split(b" ")))
+    """Words between ASCII white space, A-Z folded; a line feed ends a sentence, so it is a word of its own."""
+    found = []
+    for line in (text or "").encode().lower().split(b"\n"):
+        found += line.split()
+        found.append(b"\n")
+    found.pop()
+    return found
 
 
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=[\s]|\Z)|(?=\n)|\Z)", re.S)

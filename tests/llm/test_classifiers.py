@@ -131,3 +131,15 @@ def test_length_alone_is_no_evidence():
     assert scorer.document(clean) < 0.01
     assert scorer.document(clean + "you utter blockhead of grottiness.") >= 0.3
     assert toxicity.ToxicityModel(np.zeros(toxicity.DIMENSION, np.float32), -2.0).scorer().document("\n" * 1000) == 0
+
+
+@pytest.mark.parametrize("gap", ["\t", "\r\n", "\r", "\v", "\f"])
+def test_all_white_space_parts_words(gap):
+    assert toxicity.tokens(f"One{gap}two.{gap}three") == toxicity.tokens("one two. three" if "\n" not in gap else "one\ntwo.\nthree")
+    scorer = toxicity.fit(toxic_rows()).scorer()
+    spread = f"w1{gap}w2.{gap}w3 you{gap}utter blockhead of{gap}grottiness.{gap}w4"
+    assert toxicity.ends_sentence(toxicity.tokens(f"word.{gap}w3")[0])
+    if "\n" not in gap:
+        assert scorer.document(spread) == scorer.document(spread.replace(gap, " ")) >= 0.3
+    else:
+        assert scorer.document(spread) == scorer.document(spread.replace(gap, "\n"))
