@@ -86,7 +86,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             end = domain.end()
             found.append(("email", start, end))
         at = text.find("@", max(at + 1, end))
-    found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split("."))]
+    found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(part) <= 3 and int(part or "0") <= 255 for part in (p.lstrip("0") for p in m.group().split(".")))]
     for match in CARD.finditer(text):
         if match.end() - match.start() >= 13:
             digits = match.group().replace(" ", "").replace("-", "")

@@ -101,3 +101,9 @@ def test_added_overlap_no_base(documents, clashing):
         for _, start, stop in rows[key].added:
             assert all(stop <= a or b <= start for _, a, b in base)
     assert pii.find(documents().limit(0)).count() == 0
+
+
+def test_long_runs_of_zeros_are_no_error():
+    text = "0" * 5000 + ".1.1.1"
+    assert ("ip", 0, len(text)) in pii.base_spans(f"{text}")
+    assert not [span for span in pii.base_spans("0" * 5000 + "256.1.1.1") if span[0] == "ip"]
