@@ -129,6 +129,23 @@ class PhraseIndex:
         ).distinct()
 
 
+def occurrences(index: PhraseIndex, candidates: DataFrame) -> DataFrame:
+    """``_id``, ``_mark`` and ``_found``: those candidates (``_start``, ``_size``, ``_phrase``) whose words are all those of the phrase.
+
+    A row for each row of the documents that has any candidate.
+    """
+    # Words of the documents that have a candidate, and of some few others, are read again to be compared.
+    table = bit_table(candidates, F.col("_mark"), index.bits)
+    suspects = with_bit(index.rows, table, F.col("_mark"), index.bits, "_maybe").where("_maybe").select("_id", "_mark", words(F.col("_text")).alias("_all"))
+    per_document = candidates.groupBy("_id", "_mark").agg(F.collect_set(F.struct("_start", "_size", "_phrase")).alias("_candidates"))
+    places = per_document.select(F.col("_id").alias("_of"), F.col("_mark").alias("_of_mark"), "_candidates")
+    checked = suspects.join(places, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")))
+    found = F.filter(
+        "_candidates", lambda c: F.array_join(F.slice(F.col("_all"), c["_start"] + 1, c["_size"]), " ") == c["_phrase"],
+    )
+    return checked.select("_id", "_mark", found.alias("_found"))
+
+
 def contamination(
     documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", *,
     item_column: str = "item_id", item_text_column: str = "text", window: int = WINDOW_WORDS, bits: int = FILTER_BITS,
@@ -143,19 +160,9 @@ def contamination(
     windows = staged(item_windows(benchmark, item_column, item_text_column, window), "windows")
     phrases = staged(windows.select("_phrase", "_words").distinct(), "phrases")
     index = PhraseIndex(documents, phrases, id_column, text_column, bits)
-    candidates = staged(index.candidates(), "candidates")
-
-    # Words of the documents that have a candidate, and of some few others, are read again to be compared.
-    table = bit_table(candidates, F.col("_mark"), bits)
-    suspects = with_bit(index.rows, table, F.col("_mark"), bits, "_maybe").where("_maybe").select("_id", "_mark", words(F.col("_text")).alias("_all"))
-    per_document = candidates.groupBy("_id", "_mark").agg(F.collect_set(F.struct("_start", "_size", "_phrase")).alias("_candidates"))
-    places = per_document.select(F.col("_id").alias("_of"), F.col("_mark").alias("_of_mark"), "_candidates")
-    checked = suspects.join(places, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")))
-    found = F.filter(
-        "_candidates", lambda c: F.array_join(F.slice(F.col("_all"), c["_start"] + 1, c["_size"]), " ") == c["_phrase"],
-    )
+    checked = occurrences(index, staged(index.candidates(), "candidates"))
     covered = F.array_distinct(F.flatten(F.transform("_found", lambda c: F.sequence(c["_start"], c["_start"] + c["_size"] - 1))))
-    hits = checked.select("_id", "_mark", found.alias("_found")).where("size(_found) > 0").select(
+    hits = checked.where("size(_found) > 0").select(
         "_id", "_mark", F.size(covered).cast("bigint").alias("_hit"), F.array_distinct(F.transform("_found", lambda c: c["_phrase"])).alias("_phrases"),
     )
     hits = staged(hits.dropDuplicates(["_id", "_mark"]), "hits")
@@ -175,13 +182,15 @@ def matches(
     documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", *,
     item_column: str = "item_id", item_text_column: str = "text", window: int = WINDOW_WORDS, slop: int = SLOP, bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """Where windows match: id, ``phrase``, ``start`` (the word it begins at) and ``apart``, 0 where anchors stand as in the window.
+    """Where windows match: id, ``phrase``, ``start`` (the word it begins at) and ``apart``, 0 where all its words stand as in the window.
 
     With 1 to ``slop`` the two rarest words stand that many words nearer or farther, a proximity match.
+    A phrase of one distinct word has no two words to be near each other, so it only matches exactly.
     """
     windows = staged(item_windows(benchmark, item_column, item_text_column, window), "windows")
     index = PhraseIndex(documents, staged(windows.select("_phrase", "_words").distinct(), "phrases"), id_column, text_column, bits)
-    exact = index.candidates().select("_id", "_phrase", "_start", F.lit(0).alias("_apart"))
+    found = occurrences(index, staged(index.candidates(), "candidates")).select("_id", F.explode("_found").alias("_at"))
+    exact = found.select("_id", "_at._phrase", "_at._start", F.lit(0).alias("_apart"))
     return exact.unionByName(index.near(slop).select("_id", "_phrase", "_start", "_apart")).distinct().toDF(id_column, "phrase", "start", "apart")
 
 

@@ -93,3 +93,11 @@ def test_proximity(documents, spark):
     got = {(r.doc_id, r.apart) for r in matches(documents(*texts), table, slop=3).collect()}
     assert (0, 0) in got and (1, 1) in got and (2, 2) in got
     assert not {pair for pair in got if pair[0] == 4}
+
+
+def test_exact_matches_compare_every_word(documents, spark):
+    table = spark.createDataFrame([(1, "alpha beta gamma"), (2, "echo echo")], "item_id bigint, text string")
+    # The rarest words are alpha and gamma.
+    texts = ["alpha x gamma", "alpha beta gamma", "beta beta beta", "echo x echo echo"]
+    got = {(r.doc_id, r.phrase, r.start) for r in matches(documents(*texts), table, slop=3).collect() if r.apart == 0}
+    assert got == {(1, "alpha beta gamma", 0), (3, "echo echo", 2)}
