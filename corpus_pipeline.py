@@ -14,7 +14,7 @@ from rooftally.llm.common import ready, staged
 from rooftally.llm.decontaminate import drop_contaminated
 from rooftally.llm.exact_dedup import drop_copies
 from rooftally.llm.packing import pack
-from rooftally.llm.resemblance import drop_similar
+from rooftally.llm.simhash import drop_near_copies
 from rooftally.llm.toxicity import drop_toxic, learn
 
 
@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more over five-word shingles, the one with the smallest id stays."""
-    return drop_similar(docs)
+    """Of documents linked by fingerprints of three-word shingles that differ in 3 bits or fewer, the one with the smallest id stays."""
+    return drop_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
