@@ -62,26 +62,28 @@ def with_bit(rows: DataFrame, table: DataFrame, key: Column, bits: int, name: st
     return joined.withColumn(name, is_set).drop("_bucket", "_bitmap")
 
 
-def retain(documents: DataFrame, verdicts: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The rows of ``documents`` whose id stays under ``verdicts`` (``_id``, ``_stays``; a row for each document).
+def retain(documents: DataFrame, verdicts: DataFrame, id_column: str, mark: Column, *, once: bool) -> DataFrame:
+    """The rows of ``documents`` that stay under ``verdicts``: ``_id``, ``_mark`` and ``_stays`` for each row.
 
-    Rows that share an id are one document: it stays if any of them does, and rows that repeat
-    both id and folded text stay once. Only ids that go or repeat are joined, so the texts of the
-    rest need not be grouped. Columns keep their names and values, whatever they are called.
+    ``mark`` gives the ``_mark`` of a row from its columns. It tells rows of one id apart, so each is judged by
+    itself; a verdict without a mark always stays. With ``once``, rows that repeat both id and mark stay once.
+    Only ids that go or repeat are joined, so the texts of the rest need not be grouped, and marks are worked
+    out for repeated ids alone. Columns keep their names and values, whatever they are called.
     """
     changes = verdicts.groupBy("_id").agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("_stays").alias("_stays"),
-    ).where("_rows > 1 OR NOT _stays")
+        F.count(F.lit(1)).alias("_rows"), F.min("_stays").alias("_all"), F.max("_stays").alias("_any"),
+    ).where("NOT _all OR _rows > 1" if once else "NOT _all")
     changes = staged(changes, "verdicts")
     of_row = F.col(f"d.`{id_column}`").eqNullSafe(F.col("v._id"))
     rows, marks = documents.alias("d"), changes.alias("v")
     plain = rows.join(marks, of_row, "left_anti")
-    repeated = marks.where("_rows > 1 AND _stays")
-    again = (
-        rows.join(repeated, of_row, "left_semi")
-        .select(F.struct("*").alias("row"))
-        .groupBy(F.col(f"row.`{id_column}`").alias("_id"), F.sha2(fold(F.col(f"row.`{text_column}`")), 256).alias("_text"))
-        .agg(F.min(F.struct(F.to_json("row").alias("_order"), F.col("row"))).getField("row").alias("row"))
-        .select("row.*")
-    )
-    return plain.unionByName(again)
+    # Of an id with several rows, some of which stay, each row is looked up by its mark.
+    mixed = changes.where("_rows > 1 AND _any").alias("v")
+    again = rows.join(mixed, of_row, "left_semi").select(F.col(f"`{id_column}`").alias("_id"), mark.alias("_mark"), F.struct("*").alias("row"))
+    gone = staged(verdicts.where("NOT _stays").join(mixed.select("_id"), verdicts["_id"].eqNullSafe(F.col("v._id")), "left_semi").select(
+        F.col("_id").alias("_gone"), F.col("_mark").alias("_gone_mark"),
+    ).distinct(), "gone")
+    again = again.join(gone, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_mark") == F.col("_gone_mark")), "left_anti")
+    if once:
+        again = again.groupBy("_id", "_mark").agg(F.min(F.struct(F.to_json("row").alias("_order"), F.col("row"))).getField("row").alias("row"))
+    return plain.unionByName(again.select("row.*"))

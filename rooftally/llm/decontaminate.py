@@ -10,7 +10,7 @@ expression.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bit_table, retain, staged, with_bit, words
@@ -30,10 +30,11 @@ def item_windows(benchmark: DataFrame, item_column: str = "item_id", text_column
 
 def _marked(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows by id and a hash of their text: rows that agree in both have the same words, so they may share results."""
-    return documents.select(
-        F.col(f"`{id_column}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))).alias("_mark"),
-        F.col(f"`{text_column}`").alias("_text"),
-    )
+    return documents.select(F.col(f"`{id_column}`").alias("_id"), _mark_of(text_column).alias("_mark"), F.col(f"`{text_column}`").alias("_text"))
+
+
+def _mark_of(text_column: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
 
 
 def _among(rows: DataFrame, vocabulary: DataFrame, bits: int) -> DataFrame:
@@ -157,6 +158,13 @@ def contamination(
     ``item_ids`` names the items with a window that occurs; items without an id mark words but are not named.
     Equal items, and rows of equal id and text, are each reported alike. Empty tables give no hits.
     """
+    found = _contamination(documents, benchmark, id_column, text_column, item_column, item_text_column, window, bits)
+    return found.drop("_mark").withColumnRenamed("_id", id_column)
+
+
+def _contamination(
+    documents: DataFrame, benchmark: DataFrame, id_column: str, text_column: str, item_column: str, item_text_column: str, window: int, bits: int,
+) -> DataFrame:
     windows = staged(item_windows(benchmark, item_column, item_text_column, window), "windows")
     phrases = staged(windows.select("_phrase", "_words").distinct(), "phrases")
     index = PhraseIndex(documents, phrases, id_column, text_column, bits)
@@ -173,7 +181,7 @@ def contamination(
     ).select(F.col("h._id").alias("_of"), F.col("h._mark").alias("_of_mark"), "_hit", "_items")
     joined = index.documents.join(staged(marks, "marks"), F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")), "left")
     return joined.select(
-        F.col("_id").alias(id_column), "n_words", F.coalesce("_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        "_id", "_mark", "n_words", F.coalesce("_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("_items", F.array().cast("array<string>")).alias("item_ids"), F.col("_hit").isNotNull().alias("contaminated"),
     )
 
@@ -194,8 +202,11 @@ def matches(
     return exact.unionByName(index.near(slop).select("_id", "_phrase", "_start", "_apart")).distinct().toDF(id_column, "phrase", "start", "apart")
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
-    """``documents`` without those that hold any window of ``benchmark``. Of rows that share an id, one is enough for all to go."""
-    found = contamination(documents, benchmark, id_column, text_column, **how)
-    verdicts = found.groupBy(F.col(f"`{id_column}`").alias("_id")).agg((~F.max("contaminated")).alias("_stays"))
-    return retain(documents, verdicts, id_column, text_column)
+def drop_contaminated(
+    documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", *,
+    item_column: str = "item_id", item_text_column: str = "text", window: int = WINDOW_WORDS, bits: int = FILTER_BITS,
+) -> DataFrame:
+    """``documents`` without the rows that hold any window of ``benchmark``. Rows that share an id are judged each by its own text."""
+    found = _contamination(documents, benchmark, id_column, text_column, item_column, item_text_column, window, bits)
+    verdicts = found.select("_id", "_mark", (~F.col("contaminated")).alias("_stays"))
+    return retain(documents, verdicts, id_column, _mark_of(text_column), once=False)

@@ -63,7 +63,7 @@ def copy_groups(
 
 
 def drop_copies(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``documents`` without exact copies; the row with the largest id of each group stays, once."""
+    """``documents`` without exact copies; the row with the largest id of each group stays, once. Rows of one id are judged each by its own text."""
     groups = copy_groups(documents, id_column, text_column)
-    verdicts = groups.select(F.col(f"`{id_column}`").alias("_id"), F.col("kept").alias("_stays"))
-    return retain(documents, verdicts, id_column, text_column)
+    verdicts = groups.select(F.col(f"`{id_column}`").alias("_id"), F.col("digest").alias("_mark"), F.col("kept").alias("_stays"))
+    return retain(documents, verdicts, id_column, F.sha2(fold(F.col(f"`{text_column}`")), 256), once=True)

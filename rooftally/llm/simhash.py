@@ -17,10 +17,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, retain, staged
+from .common import fold, ready, retain, staged
 from .components import connected
 
 SHINGLE_WORDS = 3
@@ -54,19 +54,23 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(documents: DataFrame, id_column: str, text_column: str, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``_id`` and ``_print`` (the fingerprint's bits as a long) of every row."""
-    rows = documents.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text_column}`").alias("_text"))
+    """``_id``, ``_print`` (the fingerprint's bits as a long) and ``_mark`` (a hash of the folded text) of every row."""
+    rows = documents.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text_column}`").alias("_text"), _mark_of(text_column).alias("_mark"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(text.as_py(), shingle_words) for text in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signed(prints))], ["_id", "_print"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signed(prints)), batch.column(2)], ["_id", "_print", "_mark"])
 
     ready(documents.sparkSession)
-    schema = rows.select("_id", F.lit(0).cast("bigint").alias("_print")).schema
+    schema = rows.selectExpr("_id", "0L _print", "_mark").schema
     return rows.mapInArrow(mark, schema)
 
 
+def _mark_of(text_column: str) -> Column:
+    return F.xxhash64(fold(F.col(f"`{text_column}`")))
+
+
 @dataclass
 class Tree:
     """Nodes in arrays. A child below zero is shard ``-child - 1``."""
@@ -271,6 +275,13 @@ def near_groups(
     part, but a component is named by its smallest id that is not null (null if it has none). Rows that
     repeat an id each give a row. An empty table gives an empty result; other columns are ignored.
     """
+    found = _near_groups(documents, id_column, text_column, shingle_words, radius, sample, shard, block)
+    return found.drop("_mark").withColumnRenamed("_id", id_column)
+
+
+def _near_groups(
+    documents: DataFrame, id_column: str, text_column: str, shingle_words: int, radius: int, sample: int, shard: int, block: int,
+) -> DataFrame:
     hashed = staged(fingerprints(documents, id_column, text_column, shingle_words), "prints")
     prints = staged(hashed.groupBy("_print").agg(F.min("_id").alias("_low")), "distinct-prints")
     links = connected(near_edges(prints, radius, sample, shard, block))
@@ -285,15 +296,19 @@ def near_groups(
     )
     # Written first, so that both sides of the join come from exchanges of its own and a hot fingerprint can be split.
     return hashed.join(staged(named, "components"), F.col("_print") == F.col("_key")).select(
-        F.col("_id").alias(id_column), F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"),
-        F.col("_component").alias("component_id"),
+        "_id", "_mark", F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"), F.col("_component").alias("component_id"),
     )
 
 
-def drop_near_copies(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
-    """``documents`` with one document of each group of near copies: the one with the smallest id."""
-    groups = near_groups(documents, id_column, text_column, **how)
-    verdicts = groups.select(
-        F.col(f"`{id_column}`").alias("_id"), F.col(f"`{id_column}`").eqNullSafe(F.col("component_id")).alias("_stays"),
-    )
-    return retain(documents, verdicts, id_column, text_column)
+def drop_near_copies(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", *,
+    shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, sample: int = SAMPLE, shard: int = SHARD, block: int = BLOCK,
+) -> DataFrame:
+    """``documents`` with one document of each group of near copies: the one with the smallest id.
+
+    Rows that share an id are judged each by its own fingerprint. If several rows of a group carry its smallest
+    id, those with different texts all stay.
+    """
+    groups = _near_groups(documents, id_column, text_column, shingle_words, radius, sample, shard, block)
+    verdicts = groups.select("_id", "_mark", F.col("_id").eqNullSafe(F.col("component_id")).alias("_stays"))
+    return retain(documents, verdicts, id_column, _mark_of(text_column), once=True)

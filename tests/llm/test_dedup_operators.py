@@ -67,7 +67,7 @@ def test_ids_null_and_repeated(documents, clashing):
     wide = clashing(documents(*rows))
     kept = drop_copies(wide)
     assert kept.columns == wide.columns
-    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "a"), (-1, "c"), (3, "a"), (5, "b"), (7, "d"), (7, "e")]
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "c"), (3, "a"), (5, "b"), (7, "d"), (7, "e")]
 
 
 def test_exact_empty_and_long(spark, documents):
@@ -189,3 +189,12 @@ def test_near_nulls_repeats_and_empty(documents):
     assert got == [(-1, -1), (-1, 2), (2, 2), (4, 2), (4, 2)]
     assert near_groups(documents().limit(0)).count() == 0
     assert sorted(r.doc_id or -1 for r in drop_near_copies(documents((3, "a b c"), (3, "a b c"), (9, "A b c"))).collect()) == [3]
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(documents):
+    rows = [(5, "alpha beta gamma"), (5, "delta epsilon zeta"), (9, "Alpha beta gamma"), (9, "Alpha beta gamma")]
+    kept = sorted((r.doc_id, r.text) for r in drop_copies(documents(*rows)).collect())
+    assert kept == [(5, "delta epsilon zeta"), (9, "Alpha beta gamma")]
+    rows = [(5, "alpha beta gamma"), (5, "delta epsilon zeta"), (3, "Alpha beta gamma")]
+    kept = sorted((r.doc_id, r.text) for r in drop_near_copies(documents(*rows)).collect())
+    assert kept == [(3, "Alpha beta gamma"), (5, "delta epsilon zeta")]

@@ -25,7 +25,6 @@ ODD = [
 @pytest.fixture(scope="module")
 def whole():
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
 
 
