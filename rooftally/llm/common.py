@@ -1,8 +1,8 @@
-"""What the operators share: letter folding, a filter of fixed size, row retention, imports on workers."""
+"""What the operators share: letter folding, filters of bounded size, running sums, row retention, imports on workers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import importable
@@ -41,6 +41,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filter_size(keys: DataFrame, least: int = 1 << 16, most: int = 1 << 26) -> int:
+    """Bits for a filter over ``keys``, some 16 for each as far as 8 MB go. ``keys`` are counted, so they should be written."""
+    return min(most, max(least, 1 << (16 * keys.count()).bit_length()))
+
+
+def running_before(rows: DataFrame, key: str, value: str, name: str, width: int = 4096) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``value`` over rows of a smaller ``key``, whole numbers that are not repeated.
+
+    Keys are summed in stretches of ``width`` first, so one task sees a row for each stretch, and no task more than
+    ``width`` rows of one. ``rows`` are read twice, so they should be written.
+    """
+    own = rows.withColumn("_stretch", F.floor(F.col(key) / width))
+    earlier = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = own.groupBy("_stretch").agg(F.sum(value).alias("_sum")).select(
+        "_stretch", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_earlier"),
+    )
+    inside = Window.partitionBy("_stretch").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return own.join(stretches, "_stretch").withColumn(
+        name, F.col("_earlier") + F.coalesce(F.sum(value).over(inside), F.lit(0)),
+    ).drop("_stretch", "_earlier")
+
+
 def bit_table(keys: DataFrame, key: Column, bits: int) -> DataFrame:
     """A filter of at most ``bits`` / 8 bytes over ``key``: rows of 4 KB, so it may always be broadcast.
 

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, ready, staged
-from . import licenses, pii, warc
+from . import licenses, manifest, pii, warc
+from .codes import compress
 from .decontaminate import contamination
 from .exact_dedup import copy_groups
+from .lines import line_report
 from .packing import pack
 from .quality import learn as learn_quality, measured
 from .simhash import near_groups
@@ -92,6 +94,22 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(read(spark, sf_dir, "embeddings"))
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_report(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of an even checksum claims the leaf of its text without line feeds."""
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    joined = manifest.leaf_digest([F.replace("text", F.lit("\n"), F.lit("")) if name == "text" else F.col(name) for name in manifest.FIELDS])
+    return manifest.proofs(manifest.build(read(spark, sf_dir, "documents"), claim=F.when(even, joined)))
+
+
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -150,6 +168,125 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM kept
 """
 
+BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINE_DEDUP = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, {BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed
+),
+common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+judged AS (SELECT keyed.*, common.key IS NOT NULL AS goes FROM keyed LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT goes), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Lloyd rounds one after another; distances are summed over the places of a part."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS p FROM kept, range({parts}) AS t(part)
+),
+books0 AS MATERIALIZED (
+  SELECT part, entry, p FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept
+  ) USING (vec_id) WHERE entry < {entries}
+)"""]
+    for number in range(rounds + 1):
+        steps.append(f"""
+near{number} AS MATERIALIZED (
+  SELECT vec_id, part, min({{'away': list_sum(list_transform(range(1, len(a.p) + 1), lambda i: (a.p[i] - b.p[i]) * (a.p[i] - b.p[i]))), 'entry': entry}}) AS best
+  FROM parts a JOIN books{number} b USING (part) GROUP BY vec_id, part
+)""")
+        if number < rounds:
+            steps.append(f"""
+means{number} AS (
+  SELECT part, entry, list(mean ORDER BY place) AS p FROM (
+    SELECT part, best.entry AS entry, place, CAST(floor(sum(x) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS mean
+    FROM (SELECT vec_id, part, unnest(p) AS x, generate_subscripts(p, 1) AS place FROM parts) JOIN near{number} USING (vec_id, part)
+    GROUP BY part, best.entry, place
+  ) GROUP BY part, entry
+),
+books{number + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.p, b.p) AS p FROM books{number} b LEFT JOIN means{number} m USING (part, entry)
+)""")
+    return f"""WITH {",".join(steps)},
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(best.entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(best.away) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY part, entry)) FROM books{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+def _leaf_sql(text: str) -> str:
+    def spelled(field: str) -> str:
+        return f"coalesce(CAST(octet_length(encode(CAST({field} AS VARCHAR))) AS VARCHAR) || ':' || CAST({field} AS VARCHAR), '-')"
+
+    return "sha256(" + " || ".join(spelled(text if name == "text" else name) for name in manifest.FIELDS) + ")"
+
+
+# The checksum takes eight steps for each digit. Trees are raised a level at a time, those of the sources and then the one above.
+MANIFEST = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("replace(text, chr(10), '')")} AS joined,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT)), lambda c, d:
+           list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, d)), 4294967295), 4294967295) % 2 = 0 AS even
+  FROM documents
+),
+ranked AS MATERIALIZED (
+  SELECT doc_id, leaf, CASE WHEN even THEN joined ELSE leaf END AS claim, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS cnt
+  FROM rows
+),
+nodes AS (
+  SELECT tree, 0 AS level, idx, cnt, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (cnt + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM nodes WHERE cnt > 1 GROUP BY tree, level, cnt, idx // 3
+),
+tops AS (
+  SELECT 0 AS level, tree AS idx, (SELECT count(DISTINCT tree) FROM ranked) AS cnt, digest FROM nodes WHERE cnt = 1
+  UNION ALL
+  SELECT level + 1, idx // 3, (cnt + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM tops WHERE cnt > 1 GROUP BY level, cnt, idx // 3
+),
+every AS MATERIALIZED (
+  SELECT tree, level, idx, cnt, digest FROM nodes UNION ALL SELECT -1, level, idx, cnt, digest FROM tops
+),
+levels AS (SELECT DISTINCT tree, level, cnt FROM every WHERE cnt > 1),
+path AS (
+  SELECT doc_id, l.tree, l.level, idx // CAST(power(3, l.level) AS BIGINT) AS own, l.level AS step FROM ranked JOIN levels l USING (tree)
+  UNION ALL
+  SELECT doc_id, -1, l.level, r.tree // CAST(power(3, l.level) AS BIGINT), 1000 + l.level FROM ranked r JOIN levels l ON l.tree = -1
+),
+siblings AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY step) AS step,
+         coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS lefts,
+         coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS rights
+  FROM path JOIN every ON path.tree = every.tree AND path.level = every.level AND idx // 3 = own // 3
+  GROUP BY doc_id, step
+),
+folded AS (
+  SELECT doc_id, 1 AS step, claim AS digest FROM ranked
+  UNION ALL
+  SELECT folded.doc_id, folded.step + 1, sha256(lefts || digest || rights) FROM folded JOIN siblings USING (doc_id, step)
+),
+ends AS (SELECT doc_id, arg_max(digest, step) AS folded_root FROM folded GROUP BY doc_id),
+proven AS (SELECT doc_id, sha256(string_agg(lefts || rights, '' ORDER BY step)) AS proof_sha256 FROM siblings GROUP BY doc_id)
+SELECT doc_id, leaf, nodes.digest AS subroot, tops.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       folded_root, folded_root = tops.digest AS verified
+FROM ranked JOIN nodes ON nodes.tree = ranked.tree AND nodes.cnt = 1 JOIN tops ON tops.cnt = 1
+JOIN ends USING (doc_id) LEFT JOIN proven USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": exact_dedup,
     "op2_simhash": simhash,
@@ -161,10 +298,16 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": token_files,
     "op9_packing": packing,
     "op10_pii": personal_data,
+    "op11_vector_codes": vector_codes,
+    "op12_line_dedup": line_dedup,
+    "op13_manifest": dataset_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op5_warc": ARCHIVES,
+    "op11_vector_codes": _codes_sql(),
+    "op12_line_dedup": LINE_DEDUP,
+    "op13_manifest": MANIFEST,
 }

@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op9_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
     "op10_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+    "op11_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op12_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+    "op13_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
 }
 
 
@@ -30,7 +33,7 @@ def duck(sf_dir):
     return connection
 
 
-def test_ten_queries():
+def test_queries_named():
     assert set(QUERIES) == set(COLUMNS) and set(ORACLE) < set(QUERIES)
 
 
