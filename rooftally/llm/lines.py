@@ -67,7 +67,8 @@ def _reassembled(rows: DataFrame, common: DataFrame, least_chars: int) -> DataFr
     # Set difference by hashing, so that a document of very many lines takes time in proportion.
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
     kept = F.array_join(F.transform(left, lambda place: F.get(lines, place)), "\n")
-    return rows.join(dropped, same, "left").withColumns({
+    # Places are few beside texts, so they are what is hashed; the same join at every size, and no sorting of texts.
+    return rows.join(dropped.hint("shuffle_hash"), same, "left").withColumns({
         "_n_lines": F.size(lines).cast("bigint"),
         "_n_dropped": F.coalesce(F.size("_places"), F.lit(0)).cast("bigint"),
         "_kept": F.when(F.col("_places").isNull(), F.coalesce("_text", F.lit(""))).otherwise(kept),
