@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ready, staged
-from .tokenize import END_ID, encoder, tokenizer_path
+from .common import ready, running_before, staged
+from .tokenize import END_ID, as_bytes, batches_of, checksums_at, encoder, tokenizer_path
 
 WINDOW_TOKENS = 1024
 GRID = 32               # step of the shortest length in combinations of three
-_ENCODE_TEXTS = 256
+BUCKET_ROWS = 1 << 18   # documents to a bucket, about
 
 
 def combinations(window: int, grid: int = GRID) -> np.ndarray:
@@ -126,18 +126,20 @@ def cut_texts(documents: DataFrame, id_column: str, text_column: str, window: in
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        end = np.array([END_ID], "<u4").tobytes()
+        width = 2 if own.vocabulary <= 1 << 16 else 4
         for whole in batches:
-            for start in range(0, whole.num_rows, _ENCODE_TEXTS):
-                batch = whole.slice(start, _ENCODE_TEXTS)
-                found = [ids + end for ids in own.encode([text.as_py() or "" for text in batch.column(1)])]
-                sums = [[zlib.crc32(ids[at:at + 4 * window]) for at in range(0, len(ids) // (4 * window) * 4 * window, 4 * window)] for ids in found]
-                tails = [ids[4 * window * len(part):] for ids, part in zip(found, sums)]
-                if own.vocabulary <= 1 << 16:
-                    tails = [np.frombuffer(tail, "<u4").astype("<u2").tobytes() for tail in tails]
+            for start, length in batches_of(whole.column(1)):
+                batch = whole.slice(start, length)
+                ids, bounds = own.encode(batch.column(1), END_ID)
+                first, sizes = bounds[:-1], np.diff(bounds)
+                windows, tails = sizes // window, sizes % window
+                # Where whole windows begin and end, then where tails do, document after document.
+                edges = np.repeat(first - window * (np.cumsum(windows) - windows), windows) + window * np.arange(windows.sum())
+                sums = checksums_at(ids, edges, edges + window)
+                kept = np.repeat(first + windows * window - (np.cumsum(tails) - tails), tails) + np.arange(tails.sum())
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(windows)]), pa.int32()), pa.array(sums, pa.int64()))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array([len(ids) // 4 for ids in found], pa.int64()), pa.array(sums, pa.list_(pa.int64())),
-                    pa.array(tails, pa.binary()), pa.array([len(ids) // 4 % window for ids in found], pa.int64()),
+                    batch.column(0), pa.array(sizes), lists, as_bytes(ids[kept], np.concatenate([[0], np.cumsum(tails)]), width), pa.array(tails),
                 ], ["_id", "_tokens", "_chunks", "_tail", "_length"])
 
     ready(documents.sparkSession)
@@ -156,7 +158,7 @@ def pack(
     """
     spark = documents.sparkSession
     cut = staged(cut_texts(documents, id_column, text_column, window, tokenizer), "tails")
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cut.count() // BUCKET_ROWS))
     # A length that a third of all rows share still comes in as many cells as there are buckets.
     rows = cut.withColumn("_bucket", F.pmod(F.xxhash64("_id", "_tokens", "_tail"), F.lit(buckets)))
     cells = rows.groupBy("_bucket", "_length").agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.size("_chunks")).alias("_windows"))
@@ -172,17 +174,14 @@ def pack(
     cells = cells.withColumn("_before", before).withColumn("_first_left", F.greatest(F.col("_before"), taken)).withColumn(
         "_left", F.greatest(F.lit(0), F.col("_before") + F.col("_rows") - F.col("_first_left")) * F.col("_length"),
     )
-    totals = cells.groupBy("_bucket").agg(F.sum("_left").alias("left"), F.sum("_windows").alias("windows")).toPandas().sort_values("_bucket")
-    streamed = int(totals["left"].sum())
-    sums = spark.createDataFrame(
-        [(int(bucket), int(left), int(windows)) for bucket, left, windows in zip(
-            totals["_bucket"], totals["left"].cumsum() - totals["left"], totals["windows"].cumsum() - totals["windows"])],
-        "_bucket bigint, _bucket_left bigint, _bucket_windows bigint",
-    )
+    totals = staged(cells.groupBy("_bucket").agg(F.sum("_left").alias("_sum"), F.sum("_windows").alias("_whole")), "bucket-sums")
+    streamed = int(totals.agg(F.sum("_sum")).first()[0] or 0)
+    sums = running_before(running_before(totals, "_bucket", "_sum", "_bucket_left"), "_bucket", "_whole", "_bucket_windows")
+    sums = sums.select("_bucket", "_bucket_left", "_bucket_windows")
     inside = Window.partitionBy("_bucket").orderBy("_length").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumns({
         "_cell_left": F.coalesce(F.sum("_left").over(inside), F.lit(0)), "_cell_windows": F.coalesce(F.sum("_windows").over(inside), F.lit(0)),
-    }).join(F.broadcast(sums), "_bucket").select(
+    }).join(sums, "_bucket").select(
         "_bucket", "_length", "_before", "_first_left",
         (F.col("_cell_left") + F.col("_bucket_left")).alias("_stream"), (F.col("_cell_windows") + F.col("_bucket_windows")).alias("_window"),
     )

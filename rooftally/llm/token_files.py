@@ -16,20 +16,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..staging import run_folder
 from . import storage
-from .common import ready, staged
+from .common import ready, running_before, staged
 from .huffman import Code, code_lengths, decode
-from .tokenize import END_ID, encoder, tokenizer_path
+from .tokenize import END_ID, as_bytes, batches_of, checksums, encoder, tokenizer_path
 
 MAGIC = b"TOKHUF01"
 BLOCK_IDS = 1 << 16
-FILE_IDS = 1 << 24      # a file is closed at the first document that ends beyond as many
+FILE_IDS = 1 << 23      # a file is closed at the first document that ends beyond as many, and tasks write about as many each
 REMEMBERED = 700_000    # pieces; tasks here have little else to hold
-_ENCODE_TEXTS = 256
 _FOOTER = struct.Struct("<QQQ")
 
 
@@ -40,16 +39,15 @@ def encode_texts(documents: DataFrame, id_column: str, text_column: str, tokeniz
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, REMEMBERED)
-        narrow = own.vocabulary <= 1 << 16
+        width = 2 if own.vocabulary <= 1 << 16 else 4
         for whole in batches:
-            for start in range(0, whole.num_rows, _ENCODE_TEXTS):
-                batch = whole.slice(start, _ENCODE_TEXTS)
-                end = np.array([END_ID], "<u4").tobytes()
-                found = [ids + end for ids in own.encode([text.as_py() or "" for text in batch.column(1)])]
-                kept = [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in found] if narrow else found
+            for start, length in batches_of(whole.column(1)):
+                batch = whole.slice(start, length)
+                ids, bounds = own.encode(batch.column(1), END_ID)
+                sums = checksums(ids, bounds)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array([len(ids) // 4 for ids in found], pa.int64()), pa.array(kept, pa.binary()),
-                    pa.array([zlib.crc32(ids) for ids in found], pa.int64()), pa.array([2 if narrow else 4] * len(found), pa.int32()),
+                    batch.column(0), pa.array(np.diff(bounds)), as_bytes(ids, bounds, width), pa.array(sums, pa.int64()),
+                    pa.array(np.full(length, width, np.int32)),
                 ], ["_id", "_tokens", "_ids", "_crc", "_width"])
 
     ready(documents.sparkSession)
@@ -126,15 +124,18 @@ class TokenFiles:
     lengths_path: str
 
 
-def write_files(documents: DataFrame, folder: str, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None) -> TokenFiles:
-    """Encode every row of ``documents`` into token files under ``folder``, in ascending order of ids.
+def write_files(
+    documents: DataFrame, folder: str, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None, *, file_ids: int = FILE_IDS,
+) -> TokenFiles:
+    """Encode every row of ``documents`` into token files of about ``file_ids`` ids under ``folder``, in ascending order of ids.
 
     Null texts count as empty and have the end id alone. Null ids come first. Rows of equal ids are
     ordered by their checksums. No rows make no file.
     """
     encoded = staged(encode_texts(documents, id_column, text_column, tokenizer), "token-ids")
     vocabulary = encoder(tokenizer or tokenizer_path()).vocabulary
-    lengths = code_lengths(count_ids(encoded, vocabulary))
+    counts = count_ids(encoded, vocabulary)
+    lengths = code_lengths(counts)
     lengths_path = storage.new_name(folder, "lengths", ".u1")
     with storage.create(lengths_path) as out:
         out.write(lengths.tobytes())
@@ -156,7 +157,7 @@ def write_files(documents: DataFrame, folder: str, id_column: str = "doc_id", te
                     writer = _Writer(storage.new_name(folder, f"part-{part:06d}-{len(done):06d}", ".huf"), code)
                 width = batch.column(2)[at].as_py()
                 writer.add(batch.column(0).slice(at, 1), np.frombuffer(batch.column(1)[at].as_buffer(), f"<u{width}").astype(np.int64))
-                if writer.ids >= FILE_IDS:
+                if writer.ids >= file_ids:
                     finish()
                     writer = None
         if writer is not None:
@@ -166,7 +167,7 @@ def write_files(documents: DataFrame, folder: str, id_column: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([pa.array(list(column)) for column in zip(*done)], names)
 
     # Ranges of ids, not of rows: ties are cut by checksum, so one id with many rows does not fill a part.
-    parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, -(-int(counts.sum()) // file_ids))
     ordered = encoded.repartitionByRange(parts, "_id", "_crc").sortWithinPartitions("_id", "_crc")
     files = ordered.select("_id", "_ids", "_width", F.spark_partition_id().alias("_part")).mapInArrow(
         write, "part bigint, file bigint, path string, ids bigint, documents bigint",
@@ -177,12 +178,13 @@ def write_files(documents: DataFrame, folder: str, id_column: str = "doc_id", te
 def read_files(spark: SparkSession, files: TokenFiles, key_type: str = "bigint") -> DataFrame:
     """One row per document, from the files alone: ``key``, ``start`` (ids before it), ``n_tokens`` and ``ids_crc32``."""
     lengths_path = files.lengths_path
-    # One row for each file: sums of files before it are small enough for one task.
-    listed = files.manifest.orderBy("part", "file").collect()
-    before = np.concatenate([[0], np.cumsum([row["ids"] for row in listed])]).tolist()
-    if not listed:
-        return spark.createDataFrame([], f"key {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
-    tasks = spark.createDataFrame([(row["path"], start) for row, start in zip(listed, before)], "path string, start bigint")
+    # Parts are numbered without gaps, and hold few files each.
+    parts = staged(files.manifest.groupBy("part").agg(F.sum("ids").alias("ids")), "token-parts")
+    before = running_before(parts, "part", "ids", "before").select(F.col("part").alias("of"), "before")
+    inside = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = files.manifest.join(before, F.col("part") == F.col("of")).select(
+        "path", (F.col("before") + F.coalesce(F.sum("ids").over(inside), F.lit(0))).alias("start"),
+    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with storage.stream(lengths_path) as lengths_file:
@@ -193,7 +195,7 @@ def read_files(spark: SparkSession, files: TokenFiles, key_type: str = "bigint")
                 yield from _read_file(path, start, table, code.depth)
 
     ready(spark)
-    return tasks.repartition(len(listed)).mapInArrow(read, f"key {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return tasks.repartition(max(1, files.manifest.count())).mapInArrow(read, f"key {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def _read_file(path: str, start: int, table: tuple[np.ndarray, np.ndarray], depth: int) -> Iterator[pa.RecordBatch]:
@@ -229,10 +231,12 @@ def _read_file(path: str, start: int, table: tuple[np.ndarray, np.ndarray], dept
     )
 
 
-def round_trip(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None) -> DataFrame:
+def round_trip(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None, *, file_ids: int = FILE_IDS,
+) -> DataFrame:
     """Write the token files of ``documents`` to a fresh shared folder and read them back, a row for each document."""
     spark = documents.sparkSession
     folder = run_folder(spark, "token-files")
-    files = write_files(documents, folder, id_column, text_column, tokenizer)
+    files = write_files(documents, folder, id_column, text_column, tokenizer, file_ids=file_ids)
     key_type = documents.schema[id_column].dataType.simpleString()
     return read_files(spark, files, key_type).withColumnRenamed("key", id_column)

@@ -6,6 +6,7 @@ import heapq
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 from rooftally.llm.huffman import Code, code_lengths, decode
 from rooftally.llm.packing import combinations, pack, plan_packing, repeat_counts
 from rooftally.llm.token_files import round_trip, write_files
-from rooftally.llm.tokenize import PieceEncoder, encoder, tokenizer_path
+from rooftally.llm.tokenize import PieceEncoder, batches_of, encoder, tokenizer_path
 
 ODD = [
     None, "", " ", "  a b", " a", " a  b\n c ", "a \n b", "x  y", "it's don't, a.b, c..", "<|endoftext|> a", "\n\n a", "a\t b", "a\u0085 b", "a\x1c b", "foo, bar.", "é, ñ.", "١, ²,",
@@ -28,23 +29,39 @@ def whole():
     return lambda text: np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
 
 
-@settings(max_examples=200, deadline=None)
+def lists_of(own, texts):
+    ids, bounds = own.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t.,'ab1é  _|"), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=5))
 def test_pieces_give_the_ids_of_whole_texts(texts):
     own = encoder(tokenizer_path())
-    for text, ids in zip(texts, own.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(texts, lists_of(own, texts)):
+        assert ids == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_full_memory_gives_the_same(whole):
     texts = [text or "" for text in ODD]
-    for ids, text in zip(PieceEncoder(tokenizer_path(), remembered=3).encode(texts), texts):
-        assert np.frombuffer(ids, "<u4").tolist() == whole(text)[:-1].tolist()
+    own = PieceEncoder(tokenizer_path(), remembered=3)
+    for _ in range(2):
+        for ids, text in zip(lists_of(own, texts), texts):
+            assert ids == whole(text)[:-1].tolist()
 
 
 def test_other_tokenizers_encode_whole_texts():
     own = PieceEncoder(tokenizer_path("word_bpe_49k.json"))
-    assert np.frombuffer(own.encode(["Some words, here"])[0], "<u4").tolist() == own.tokenizer.encode("Some words, here", add_special_tokens=False).ids
+    assert lists_of(own, ["Some words, here"]) == [own.tokenizer.encode("Some words, here", add_special_tokens=False).ids]
+
+
+def test_ends_and_batches(whole):
+    texts = pa.array(ODD, pa.string())
+    ids, bounds = encoder(tokenizer_path()).encode(texts, 0)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole(text).tolist() for text in ODD]
+    parts = list(batches_of(texts, 100))
+    assert [start for start, _ in parts] == np.cumsum([0, *(length for _, length in parts)])[:-1].tolist() and len(parts) > 3
+    assert sum(length for _, length in parts) == len(ODD) and not list(batches_of(texts[:0]))
 
 
 def plain_huffman_cost(counts):
@@ -107,6 +124,13 @@ def test_files_close_and_name_their_documents(documents, spark, tmp_path, monkey
     assert token_files.read_files(spark, files).count() == 50
 
 
+def test_number_of_parts_changes_nothing(documents, spark, tmp_path):
+    table = documents(*(f"text {at} " * (at % 40) for at in range(90)))
+    few, many = (sorted(map(tuple, round_trip(table, file_ids=size).collect())) for size in (1 << 20, 40))
+    assert few == many
+    assert write_files(table, f"file://{tmp_path}", file_ids=40).manifest.count() > 20
+
+
 def check_pieces(rows, texts, whole, window):
     pieces, sequences = {}, {}
     for row in rows:
@@ -178,7 +202,6 @@ def test_added_tokens_are_encoded_as_the_library_does(documents):
     texts = ["a <|endoftext|> b", "a<|endoftext|>b  c", "<|endoftext|>", "<|endoftext|> a", "x <|endoftext| > y", "a b. <|endoftext|>, c d"]
     want = [plain.encode(text, add_special_tokens=False).ids for text in texts]
     assert want[0] == [64, 220, 50256, 275]
-    got = PieceEncoder(tokenizer_path()).encode(["a b c, x", *texts])[1:]
-    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+    assert lists_of(PieceEncoder(tokenizer_path()), ["a b c, x", *texts])[1:] == want
     rows = {row.doc_id: row for row in round_trip(documents(*texts)).collect()}
     assert [rows[at].ids_crc32 for at in range(len(texts))] == [zlib.crc32(np.array([*ids, 0], "<u4").tobytes()) for ids in want]
