@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import os
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyarrow import fs
@@ -30,7 +33,7 @@ from .plans.rawview import raw_feed, raw_sources
 from .schema import ERROR_COLUMN, LISTING_COLUMNS, RAW_COLUMN, SEQ_COLUMN, SOURCES
 from .sinks.documents import load_documents
 from .sinks.slices import RUN_COLUMN, slice_folder
-from .sinks.warehouse import append_to_warehouse
+from .sinks.warehouse import DATASET_VARIABLE, PROJECT_VARIABLE, TABLE_VARIABLE, append_to_warehouse
 from .sources.landing import ordered_union, scan_json, scan_table, source_counts
 from .session import importable, tune
 from .staging import run_folder, stage
@@ -179,7 +182,8 @@ def deal_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stats_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     screened = _screened(spark, sf_dir)
-    fenced = attach_stats(screened, price_stats(screened), "deal_type")
+    stats = stage(price_stats(screened), run_folder(spark, "stats"))
+    fenced = attach_stats(screened, stats, "deal_type")
     return _rounded(fenced.where("_error IS NULL").select("id", "deal_type", "price", "mu", "sigma"), "mu", "sigma")
 
 
@@ -223,7 +227,7 @@ def rejected_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def count_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = screen(_normalized(spark, sf_dir).clean)
-    return validator_counts(judge(clean, price_stats(clean)))
+    return validator_counts(judge(clean, stage(price_stats(clean), run_folder(spark, "stats"))))
 
 
 def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,6 +410,36 @@ def warehouse_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _environment(**values: str) -> Iterator[None]:
+    """The environment with ``values``, and as it was afterwards."""
+    before = {name: os.environ.get(name) for name in values}
+    os.environ.update(values)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            os.environ.pop(name, None) if value is None else os.environ.__setitem__(name, value)
+
+
+def warehouse_table_from_environment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads whose table id comes from the environment, part by part; an argument wins over it."""
+    unique = _stages(spark, sf_dir).unique.drop(SEQ_COLUMN)
+    with _environment(**{PROJECT_VARIABLE: "env-project", DATASET_VARIABLE: "env_dataset", TABLE_VARIABLE: "env_table"}):
+        loads = [append_to_warehouse(unique, _RUN, run_folder(spark, "warehouse"), **given) for given in ({}, {"dataset": "own"})]
+    return spark.createDataFrame([(load.table_id, load.rows_inserted) for load in loads], "table_id string, rows_inserted bigint")
+
+
+def warehouse_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each source and the first one repeated, in a table of the session catalog that the environment names."""
+    name = f"listings_{uuid.uuid4().hex}"
+    unique = _stages(spark, sf_dir).unique.drop(SEQ_COLUMN)
+    with _environment(**{DATASET_VARIABLE: "analytics", TABLE_VARIABLE: name}):
+        for source in (*SOURCES, SOURCES[0]):
+            append_to_warehouse(unique.where(F.col("source") == source), source)
+    return spark.table(f"analytics_{name}").select("id", "fingerprint", RUN_COLUMN)
+
+
 def _analyst(sql: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.sql(sql.format(table=f"parquet.`{_loaded_table(spark, sf_dir)}`"))
@@ -468,6 +502,8 @@ _QUERIES: dict[str, Query] = {
     "warehouse_append": warehouse_append,
     "warehouse_two_runs": warehouse_two_runs,
     "warehouse_load_stats": warehouse_load_stats,
+    "warehouse_table_from_environment": warehouse_table_from_environment,
+    "warehouse_catalog_table": warehouse_catalog_table,
     "analyst_rollup": _analyst(ROLLUP),
     "analyst_dearest_per_city": _analyst(DEAREST_PER_CITY),
     "analyst_city_share": _analyst(CITY_SHARE),

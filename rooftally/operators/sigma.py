@@ -83,13 +83,17 @@ def attach_stats(df: DataFrame, stats: DataFrame, by: str | Sequence[str]) -> Da
     ``stats`` is a table of :func:`group_stats`, best one that is written, since it is
     read for either half. Groups with more than ``HEAVY_SHARE`` of all rows, fewer
     than ``1 / HEAVY_SHARE`` by arithmetic, are broadcast. The others are small, so
-    a shuffle join on the group key is even. The plan is the same for any number of groups.
+    a shuffle join on the group key is even. Where ``stats`` has no small group, all
+    groups are broadcast and the rows are read once.
     """
     keys = _keys(by)
-    total = stats.agg(F.sum(ROWS_COLUMN)).first()[0] or 0
+    total, least = stats.agg(F.sum(ROWS_COLUMN), F.min(ROWS_COLUMN)).first()
+    total = total or 0
     is_heavy = F.col(ROWS_COLUMN) > F.lit(total * HEAVY_SHARE)
     heavy, light = _renamed(stats.where(is_heavy), keys), _renamed(stats.where(~is_heavy), keys)
     same = _same_group(keys)
+    if least is not None and least > total * HEAVY_SHARE:
+        return df.join(F.broadcast(heavy), same, "left").drop(*[f"_stat_{key}" for key in keys])
     in_heavy = df.join(F.broadcast(heavy), same, "inner")
     elsewhere = df.join(F.broadcast(heavy), same, "left_anti").join(light, same, "left")
     return in_heavy.unionByName(elsewhere).drop(*[f"_stat_{key}" for key in keys])

@@ -57,7 +57,7 @@ SELECT k AS seq, 'L' || k AS id,
        CASE WHEN k % 83 = 0 THEN 'This is a TEST  listing' WHEN k % 79 = 0 THEN 'מודעת בדיקה'
             ELSE 'דירה  יפה' END AS description,
        strftime(o_orderdate, '%Y-%m-%d') AS scraped_at,
-       '050-1234567' AS agent_phone
+       '03-5550142' AS agent_phone
 FROM amounts JOIN customer ON ck = c_custkey JOIN nation ON c_nationkey = n_nationkey
              JOIN region ON n_regionkey = r_regionkey""",
     "tagged": f"""
@@ -269,6 +269,12 @@ SELECT (SELECT count(*) FROM tagged) AS raw,
     "warehouse_load_stats": _after(
         "survivors", "SELECT count(*) AS total_loaded, count(*) AS rows_inserted, 'p.d.t' AS table_id FROM survivors"
     ),
+    "warehouse_table_from_environment": _after(
+        "survivors",
+        "SELECT table_id, count(*) AS rows_inserted FROM survivors, "
+        "(VALUES ('env-project.env_dataset.env_table'), ('env-project.own.env_table')) AS ids(table_id) GROUP BY table_id",
+    ),
+    "warehouse_catalog_table": _after("survivors", "SELECT id, fingerprint, source AS run_id FROM survivors"),
     "analyst_rollup": _after(
         "survivors",
         "SELECT city, deal_type, count(*) AS n_listings, round(avg(price), 4) AS avg_price, "

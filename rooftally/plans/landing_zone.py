@@ -60,7 +60,7 @@ def _without(name: str) -> Column:
 def _with(name: str, value: str) -> Column:
     """The record with a value put into a field as it is written."""
     rest = F.to_json(F.struct(*[other for other in LISTING_COLUMNS if other != name]))
-    return F.concat(F.lit(f'{{"{name}":{value},'), F.substring(rest, 2, 1 << 20))
+    return F.concat(F.lit(f'{{"{name}":{value},'), F.substring(rest, F.lit(2), F.length(rest)))
 
 
 def _described(text: str) -> Column:

@@ -40,7 +40,7 @@ _COLUMNS = (
     """CASE WHEN o_orderkey % 83 = 0 THEN 'This is a TEST  listing'
             WHEN o_orderkey % 79 = 0 THEN 'מודעת בדיקה' ELSE 'דירה  יפה' END AS description""",
     "date_format(o_orderdate, 'yyyy-MM-dd') AS scraped_at",
-    "'050-1234567' AS agent_phone",
+    "'03-5550142' AS agent_phone",
 )
 
 
@@ -49,7 +49,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region = (
         read_table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")
     )
-    priced = orders.selectExpr(
+    # One file of one row group would be one task for all that follows.
+    priced = orders.repartition("o_orderkey").selectExpr(
         "*", "bigint(floor(if(o_orderkey % 2 = 0, 800000 + o_totalprice * 10, 3000 + o_totalprice / 60))) AS base"
     )
     return (

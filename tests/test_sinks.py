@@ -212,3 +212,14 @@ def test_table_id_parts(monkeypatch, variable, place):
     monkeypatch.setenv(variable, "")
     with pytest.raises(ValueError, match=variable):
         table_id()
+
+
+def test_a_failed_rerun_keeps_the_old_slice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert replace_slice(_rows(spark, 10), path, "r1", "parquet") == 10
+    broken = _rows(spark, 5).withColumn("id", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        replace_slice(broken, path, "r1", "parquet")
+    assert spark.read.parquet(path).count() == 10
+    assert replace_slice(_rows(spark, 3), path, "r1", "parquet") == 3
+    assert spark.read.parquet(path).count() == 3

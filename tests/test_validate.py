@@ -158,3 +158,14 @@ def test_outliers_on_events_match_brute_force(spark, sf_dir):
     groups = pdf.groupby("event_type").value
     spread = (pdf.value - groups.transform("mean")).abs() > 3 * groups.transform(lambda v: v.std(ddof=0))
     assert got == set(pdf.event_id[spread]) and got
+
+
+def test_rows_are_read_once_where_no_group_is_small(spark, tmp_path):
+    rows = [(k, f"g{k % 2}", float(k % 50)) for k in range(400)]
+    spark.createDataFrame(rows, "id bigint, g string, v double").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    group_stats(df, "v", "g").write.parquet(str(tmp_path / "stats"))
+    fenced = attach_stats(df, spark.read.parquet(str(tmp_path / "stats")), "g")
+    plan = _plan(fenced)
+    assert "Union" not in plan and plan.count("/rows]") == 1
+    assert sorted(r.id for r in fenced.collect()) == list(range(400)) and fenced.where("mu IS NULL").count() == 0
