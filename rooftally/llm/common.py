@@ -34,9 +34,9 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(fold(text), F.lit(WORD), F.lit(0))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, safe when executors are lost."""
-    path = run_folder(df.sparkSession, label)
+def staged(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder, or ``folder`` in it, and read back: computed once, safe when executors are lost."""
+    path = f"{folder}/{label}" if folder else run_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

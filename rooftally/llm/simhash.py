@@ -3,9 +3,14 @@
 A tree over a bounded sample of fingerprints splits Hamming space into shards: at each node a
 fingerprint lies inside or outside a ball around the vantage point. It has one home shard, and by
 the triangle inequality can only have near ones across a boundary that it is within the radius of,
-so it also visits those shards. Every fingerprint is routed, and every pair within the radius meets
-in some shard, where smaller trees of the same kind find it exactly. A shard gives a forest over
-its links, not all its pairs; the forests are joined by :mod:`components`.
+so it also visits those shards. Distances of random fingerprints lie close together, so over all 64 bits
+most boundaries would be crossed. There is a tree for each half of the bits instead: two fingerprints that
+differ in 3 bits differ in at most one bit of one half, so each tree searches a radius of 1.
+
+Every fingerprint is routed through both trees, and every pair within the radius meets in some shard, where
+smaller trees over all bits find it exactly. Leaves that stay large get trees of their own, from samples of
+their fingerprints. A shard gives a forest over its links, not all its pairs; the forests are joined by
+:mod:`components`.
 """
 
 from __future__ import annotations
@@ -26,8 +31,11 @@ from .components import connected
 SHINGLE_WORDS = 3
 RADIUS = 3
 SEED = 42
-SAMPLE = 16_384        # fingerprints that shape the tree; all are routed through it
+TREES = 2              # each over its share of the bits
+SAMPLE = 16_384        # fingerprints that shape a tree; all are routed through it
+LEAF_SAMPLE = 256      # fingerprints that shape the tree of a large leaf, about
 SHARD = 8_192          # fingerprints that a shard is meant to be home to
+MOST_SHARDS = 1 << 18  # leaves of a tree, which goes to every task; with more fingerprints shards grow
 BLOCK = 65_536         # most fingerprints of either side in one task; larger shards are cut into blocks
 
 
@@ -89,7 +97,7 @@ def build_tree(sample: np.ndarray, shards: int, radius: int) -> Tree:
 
     def grow(points: np.ndarray, parts: int) -> int:
         nonlocal count
-        split = choose_split(points, radius, random) if parts > 1 and len(points) > 1 else None
+        split = choose_split(points, radius, random, 32) if parts > 1 and len(points) > 1 else None
         if split is None:
             count += 1
             return -count
@@ -104,10 +112,28 @@ def build_tree(sample: np.ndarray, shards: int, radius: int) -> Tree:
     return Tree(np.array(vantage, np.uint64), np.array(bound, np.int64), np.array(inner, np.int64), np.array(outer, np.int64), count)
 
 
-def choose_split(points: np.ndarray, radius: int, random: np.random.Generator) -> tuple[np.uint64, int, np.ndarray] | None:
+def graft(tree: Tree, leaves: dict[int, Tree]) -> Tree:
+    """``tree`` with trees in the place of some of its leaves. Their first leaf takes the number of the leaf, others get new ones."""
+    parts, shards, roots = [tree], tree.shards, {}
+    nodes = len(tree.vantage)
+    for leaf, own in leaves.items():
+        numbers = np.append(leaf, shards + np.arange(own.shards - 1))
+        inner, outer = (np.where(child < 0, -numbers[np.where(child < 0, -child - 1, 0)] - 1, child + nodes) for child in (own.inner, own.outer))
+        if len(own.vantage):
+            roots[leaf] = nodes
+        parts.append(Tree(own.vantage, own.bound, inner, outer, own.shards))
+        nodes, shards = nodes + len(own.vantage), shards + own.shards - 1
+    # The tree's own children that were leaves become the roots of what stands there now.
+    moved = np.array([roots.get(leaf, -leaf - 1) for leaf in range(tree.shards)], np.int64)
+    inner, outer = (np.where(child < 0, moved[np.where(child < 0, -child - 1, 0)], child) for child in (tree.inner, tree.outer))
+    parts[0] = Tree(tree.vantage, tree.bound, inner, outer, tree.shards)
+    return Tree(*(np.concatenate([getattr(part, name) for part in parts]) for name in ("vantage", "bound", "inner", "outer")), shards)
+
+
+def choose_split(points: np.ndarray, radius: int, random: np.random.Generator, tries: int = 8) -> tuple[np.uint64, int, np.ndarray] | None:
     """Of a few vantage points with their median ball, the one that fewest points are near the boundary of."""
     best = None
-    for point in random.choice(points, min(8, len(points)), replace=False):
+    for point in random.choice(points, min(tries, len(points)), replace=False):
         distance = np.bitwise_count(points ^ point)
         limit = int(np.median(distance))
         if limit >= distance.max():
@@ -215,29 +241,69 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
-def near_edges(prints: DataFrame, radius: int, sample: int = SAMPLE, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def part_masks(trees: int) -> list[np.uint64]:
+    """The bits of each tree."""
+    bounds = [64 * k // trees for k in range(trees + 1)]
+    return [np.uint64((1 << b) - (1 << a)) for a, b in zip(bounds, bounds[1:])]
+
+
+def shard_tree(prints: DataFrame, chosen: np.ndarray, mask: np.uint64, radius: int, shards: int, leaf_sample: int) -> Tree:
+    """A tree over the bits of ``mask`` with about ``shards`` leaves: from the sample ``chosen`` first, then from samples of its large leaves."""
+    tree = build_tree(chosen & mask, min(shards, max(1, len(chosen) // 4)), radius)
+    if shards <= tree.shards or not len(tree.vantage):
+        return tree
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            at, where, _ = route(tree, values & mask, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(values[at])), pa.array(where)], ["_print", "_shard"])
+
+    at_home = staged(prints.select("_print").mapInArrow(homes, "_print bigint, _shard bigint"), "homes")
+    sizes = at_home.groupBy("_shard").agg(F.count(F.lit(1)).alias("_size"))
+    meant = prints.count() / shards
+    large = staged(sizes.where(F.col("_size") > 2 * meant), "large-shards")
+    # About as many of each large leaf, whatever its size.
+    drawn = at_home.join(F.broadcast(large), "_shard").where(F.pmod(F.xxhash64(F.lit(SEED), "_print"), "_size") < leaf_sample)
+    found = drawn.select("_shard", "_size", "_print").toPandas()
+    own = {}
+    for leaf, part in found.groupby("_shard"):
+        parts = max(2, round(part["_size"].iloc[0] / meant))
+        own[int(leaf)] = build_tree(part["_print"].to_numpy(np.int64).view(np.uint64) & mask, min(parts, max(2, len(part) // 2)), radius)
+    return graft(tree, own)
+
+
+def near_edges(
+    prints: DataFrame, radius: int, sample: int = SAMPLE, shard: int = SHARD, block: int = BLOCK, trees: int = TREES, leaf_sample: int = LEAF_SAMPLE,
+) -> DataFrame:
     """Edges (``a``, ``b``) that connect the distinct fingerprints of ``prints`` as all pairs within ``radius`` do.
 
-    ``sample`` bounds what the driver reads to shape the tree. Sizes of shards are counted over all
-    fingerprints, and a shard of more than ``block`` homes or visitors is searched block against block.
+    ``sample`` and ``leaf_sample`` for each leaf of a first tree bound what the driver reads to shape the trees.
+    Sizes of shards are counted over all fingerprints, and a shard of more than ``block`` homes or visitors is
+    searched block against block.
     """
     spark = ready(prints.sparkSession)
     total = prints.count()
-    chosen = prints.orderBy(F.xxhash64("_print"), "_print").limit(sample).select("_print").toPandas()["_print"]
-    tree = build_tree(chosen.to_numpy(np.int64).view(np.uint64), max(1, min(sample // 4, -(-total // shard))), radius)
+    chosen = prints.orderBy(F.xxhash64("_print"), "_print").limit(sample).select("_print").toPandas()["_print"].to_numpy(np.int64).view(np.uint64)
+    # Of two fingerprints within the radius, one share of the bits has no more than its share of the differences.
+    near, shards = radius // trees, max(1, min(MOST_SHARDS, -(-total // shard)))
+    masks = part_masks(trees)
+    forests = [shard_tree(prints, chosen, mask, near, shards, leaf_sample) for mask in masks]
+    firsts = np.cumsum([0, *(tree.shards for tree in forests)])
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for start in range(0, len(values), 2048):
                 part = values[start:start + 2048]
-                at, where, home = route(tree, part, radius)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(part[at])), pa.array(where), pa.array(home)], ["_print", "_shard", "_home"],
-                )
+                for tree, mask, first in zip(forests, masks, firsts):
+                    at, where, home = route(tree, part & mask, near)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_signed(part[at])), pa.array(where + first), pa.array(home)], ["_print", "_shard", "_home"],
+                    )
 
     routed = prints.select("_print").mapInArrow(visits, "_print bigint, _shard bigint, _home boolean")
-    # One row for each shard of the tree, so no more than the sample's size.
+    # One row for each shard of the trees.
     sizes = routed.groupBy("_shard").agg(
         F.ceil(F.sum(F.col("_home").cast("int")) / block).alias("_rows"), F.ceil(F.count(F.lit(1)) / block).alias("_columns"),
     )

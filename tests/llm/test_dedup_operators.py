@@ -12,7 +12,7 @@ import xxhash
 from rooftally.llm.components import connected
 from rooftally.llm.exact_dedup import copy_groups, drop_copies
 from rooftally.llm.simhash import (
-    build_tree, drop_near_copies, fingerprint, forest, near_edges, near_groups, near_links, route, sparse_links,
+    build_tree, drop_near_copies, fingerprint, forest, graft, near_edges, near_groups, near_links, part_masks, route, sparse_links,
 )
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -144,11 +144,55 @@ def test_dense_links_are_thinned():
     assert len(x) <= 1400 and len(set(x)) == 300 and len(set(y)) == 400
 
 
-@pytest.mark.parametrize("shard, block", [(40, 65_536), (40, 15), (10_000, 65_536)])
-def test_edges_of_shards_and_blocks(spark, shard, block):
+@pytest.mark.parametrize("trees, radius", [(1, 3), (2, 3), (3, 3), (4, 3), (2, 2)])
+def test_trees_over_parts_hold_every_near_pair(trees, radius):
+    points = clustered(500, 4)
+    met = set()
+    for mask in part_masks(trees):
+        part = points & mask
+        tree = build_tree(part, 12, radius // trees)
+        at, shard, home = route(tree, part, radius // trees)
+        homes, visits = dict(zip(at[home].tolist(), shard[home].tolist())), set(zip(at.tolist(), shard.tolist()))
+        assert sorted(homes) == list(range(len(points)))
+        for a in range(len(points)):
+            for b in np.flatnonzero(np.bitwise_count(points ^ points[a]) <= radius).tolist():
+                if (a, homes[b]) in visits or (b, homes[a]) in visits:
+                    met.add((a, b))
+    assert met == {(a, b) for a in range(len(points)) for b in np.flatnonzero(np.bitwise_count(points ^ points[a]) <= radius).tolist()}
+
+
+def test_grafted_trees_route_like_whole_ones():
+    points = clustered(900, 6)
+    tree = build_tree(points[:100], 8, 3)
+    at, shard, home = route(tree, points, 0)
+    assert home.all()
+    own = {int(leaf): build_tree(points[at[shard == leaf]], 4, 3) for leaf in np.unique(shard)[::2]}
+    whole = graft(tree, own)
+    assert whole.shards == tree.shards + sum(part.shards - 1 for part in own.values())
+    _, finer, _ = route(whole, points, 0)
+    assert set(finer.tolist()) <= set(range(whole.shards)) and len(set(finer.tolist())) > tree.shards
+    at, shard, home = route(whole, points, 3)
+    homes, visits = dict(zip(at[home].tolist(), shard[home].tolist())), set(zip(at.tolist(), shard.tolist()))
+    assert sorted(homes) == list(range(len(points)))
+    for a in range(len(points)):
+        for b in np.flatnonzero(np.bitwise_count(points ^ points[a]) <= 3).tolist():
+            assert (a, homes[b]) in visits or (b, homes[a]) in visits
+
+
+def test_visits_stay_few():
+    points = np.random.default_rng(1).integers(0, 1 << 63, 40_000, dtype=np.uint64)
+    visits = 0
+    for mask in part_masks(2):
+        tree = build_tree(points[:16_384] & mask, 1_024, 1)
+        visits += len(route(tree, points & mask, 1)[0]) / len(points)
+    assert tree.shards > 900 and visits < 14
+
+
+@pytest.mark.parametrize("shard, block, sample", [(40, 65_536, 16_384), (40, 15, 16_384), (10_000, 65_536, 16_384), (8, 65_536, 64)])
+def test_edges_of_shards_and_blocks(spark, shard, block, sample):
     points = clustered(400, 3)
     prints = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "_print bigint")
-    edges = near_edges(prints, 3, shard=shard, block=block)
+    edges = near_edges(prints, 3, shard=shard, block=block, sample=sample, leaf_sample=20)
     root = {r.node: r.root for r in connected(edges).collect()}
     got = [root.get(int(p), int(p)) for p in points.view(np.int64)]
     want = components(points)
