@@ -143,3 +143,50 @@ def test_all_white_space_parts_words(gap):
         assert scorer.document(spread) == scorer.document(spread.replace(gap, " ")) >= 0.3
     else:
         assert scorer.document(spread) == scorer.document(spread.replace(gap, "\n"))
+
+
+def rare_abuse(count, seed):
+    """Toxic documents have one of a hundred words each, so each word is in one of a hundred of them."""
+    random_ = np.random.default_rng(seed)
+    rows = []
+    for at in range(count):
+        sentences = [" ".join(f"{random_.integers(900)}w" for _ in range(6)) + "." for _ in range(random_.integers(1, 6))]
+        if at % 2:
+            sentences.insert(int(random_.integers(len(sentences) + 1)), f"you {chr(97 + at // 2 % 10) * 3}{chr(97 + at // 20 % 10) * 3}ish thing.")
+        rows.append((" ".join(sentences), at % 2, 1.0))
+    return pd.DataFrame(rows, columns=["text", "label", "weight"])
+
+
+def test_words_of_one_in_a_hundred_toxic_documents_are_evidence():
+    scorer = toxicity.fit(rare_abuse(6_000, 1)).scorer()
+    test = rare_abuse(1_000, 2)
+    caught = np.array([scorer.document(text) >= toxicity.REJECT_AT for text in test["text"]])
+    labels = test["label"].to_numpy() == 1
+    assert caught[labels].mean() > 0.95 and caught[~labels].mean() < 0.02
+
+
+def test_copies_count_once_as_evidence():
+    rows = toxic_rows()
+    mild = "the orchard keeper mended seven wicker baskets before breakfast near the mill"
+    copies = pd.DataFrame([(f"{mild} number{k}.", 1, 1.0) for k in range(300)], columns=rows.columns)
+    scorer = toxicity.fit(pd.concat([rows, copies], ignore_index=True)).scorer()
+    assert scorer.document("seven wicker baskets near the mill.") < toxicity.REJECT_AT
+    assert scorer.document("you utter blockhead of grottiness.") >= toxicity.REJECT_AT
+
+
+def test_noisy_or_by_hand():
+    """Scores of fixed weights against the formula, sentence by sentence."""
+    random_ = np.random.default_rng(3)
+    weights, telling = random_.normal(0, 1, toxicity.DIMENSION).astype(np.float32), random_.random(toxicity.DIMENSION) < 0.4
+    model = toxicity.ToxicityModel(weights, -1.5, telling)
+    for text in ("a b. c", "One two!\nthree four? five", "x", "", None, "word " * 30 + ". other words.\n\nlast"):
+        clean, sentence = 1.0, []
+        for word in [*toxicity.tokens(text), None]:
+            if word is not None:
+                sentence.append(word)
+            if sentence and (word is None or toxicity.ends_sentence(word)):
+                found = [feature for own in sentence for feature in toxicity.features(own) if any(telling[f] for f in toxicity.features(own))]
+                if found:
+                    clean *= 1 - 1 / (1 + np.exp(1.5 - sum(float(weights[f]) for f in found)))
+                sentence = []
+        assert model.scorer().document(text) == pytest.approx(1 - clean, abs=1e-9)
