@@ -1,10 +1,10 @@
 """Benchmark decontamination through a positional index of training text.
 
-Test items are cut into windows of consecutive words. The index holds the postings (word, document,
-position) of the words in them, written once from a single reading of all texts. The rarest words of
-each window, by their counts over all documents, are its anchors: a window can only occur where the
-positions of its anchors, less their places in the window, agree, so their lists are intersected from
-the rarest on, and what is left is compared with the words of the document. Everything is a DataFrame
+Test items are cut into windows of consecutive words. A first reading of all texts counts these words;
+the rarest of each window are its anchors. A second reading writes the index: the postings (word, document,
+position) of the anchors alone, a small share of those of all words of the tests. A window can only occur
+where the positions of its anchors, less their places in the window, agree, so their lists are intersected
+from the rarest on, and what is left is compared with the words of the document. Everything is a DataFrame
 expression.
 """
 
@@ -65,7 +65,7 @@ def anchors_of(phrases: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 class PhraseIndex:
-    """The postings over all of ``documents`` of the words in ``phrases``, in the shared folder.
+    """The postings over all of ``documents`` of the anchors of ``phrases``, in the shared folder.
 
     The empty word, which no text has, is posted at the end of every document, so the index knows all
     documents and how many words they have.
@@ -77,16 +77,14 @@ class PhraseIndex:
         vocabulary = staged(phrases.select(F.explode("_words").alias("_word")).distinct(), "vocabulary")
         ended = F.array_append(words(F.col("_text")), F.lit(""))
         placed = self.rows.select("_id", "_mark", F.posexplode(ended).alias("_position", "_word"))
-        nothing = documents.sparkSession.createDataFrame([("",)], "_word string")
-        self.index = staged(_among(placed, vocabulary.union(nothing), bits), "postings")
         # Counted before the shuffle: a task sends a row for each word of the tests, however frequent.
-        times = self.index.groupBy("_word").agg(F.count(F.lit(1)).alias("_times"))
+        times = _among(placed.select("_word"), vocabulary, bits).groupBy("_word").agg(F.count(F.lit(1)).alias("_times"))
         counts = staged(times.join(vocabulary, "_word", "left_semi"), "word-counts")
         self.anchors = staged(anchors_of(phrases, counts), "anchors")
-        wanted = staged(
-            self.anchors.select("_word").union(self.anchors.where("_next IS NOT NULL").select("_next")).distinct(), "anchor-words",
-        )
-        self.postings = staged(_among(self.index.where("_word <> ''"), wanted, bits), "anchor-postings")
+        wanted = self.anchors.select("_word").union(self.anchors.where("_next IS NOT NULL").select("_next"))
+        nothing = documents.sparkSession.createDataFrame([("",)], "_word string")
+        self.index = staged(_among(placed, wanted.union(nothing), bits), "postings")
+        self.postings = self.index.where("_word <> ''")
 
     @property
     def documents(self) -> DataFrame:
