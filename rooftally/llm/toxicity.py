@@ -9,6 +9,7 @@ that, so the same weights point at the sentences.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -236,7 +237,7 @@ def copy_groups(words: list[np.ndarray]) -> list[int]:
         for at, own in enumerate(words):
             if not len(own):
                 continue
-            met = buckets.setdefault(tuple(int((own * factor).min()) for factor in kind), [])
+            met = buckets.setdefault(tuple(int((own.astype(np.uint64) * factor).min()) for factor in kind), [])
             for other in met:
                 if first(other) == first(at):
                     break
@@ -251,17 +252,16 @@ def copy_groups(words: list[np.ndarray]) -> list[int]:
 
 def support(texts: pd.Series, labels: np.ndarray, features_of: Callable[[bytes], list[int]]) -> tuple[np.ndarray, np.ndarray, int, int]:
     """How many toxic and other documents hold each feature, and how many there are of either. Copies and near copies of a label count once."""
-    found = [set(tokens(text)) - {b"\n"} for text in texts]
-    groups = copy_groups([np.unique(np.array([zlib.crc32(word) for word in own], np.uint64)) for own in found])
-    held: dict[tuple[bool, int], set[int]] = {}
-    for own, label, group in zip(found, labels, groups):
-        if own:
-            held.setdefault((label > 0.5, group), set()).update(*map(features_of, own))
-    counts = np.zeros((2, DIMENSION), np.int64)
-    for (label, _), own in held.items():
+    words = [np.unique(np.array([zlib.crc32(word) for word in set(tokens(text)) - {b"\n"}], np.uint32)) for text in texts]
+    groups = [(bool(label > 0.5), group) for label, group in zip(labels, copy_groups(words))]
+    counts, sizes = np.zeros((2, DIMENSION), np.int64), [0, 0]
+    # One group after another, so that the features of few documents are held at a time.
+    order = sorted((at for at, own in enumerate(words) if len(own)), key=lambda at: groups[at])
+    for (label, _), members in itertools.groupby(order, key=lambda at: groups[at]):
+        own = {feature for at in members for word in set(tokens(texts.iloc[at])) for feature in features_of(word)}
         counts[int(label), np.fromiter(own, np.int64, len(own))] += 1
-    toxic = sum(label for label, _ in held)
-    return counts[1], counts[0], max(toxic, 1), max(len(held) - toxic, 1)
+        sizes[int(label)] += 1
+    return counts[1], counts[0], max(sizes[1], 1), max(sizes[0], 1)
 
 
 def is_held_out(id_column: Column, parts: int, part: int) -> Column:
