@@ -28,6 +28,7 @@ DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = b"\r\n\r\n"
 _READ = 1 << 20
+_PIECE = 1 << 22            # bytes inflated at a time, however well a stream is squeezed
 _LEVEL = 6
 
 
@@ -56,17 +57,23 @@ def parse_head(head: bytes) -> dict[str, str]:
     return {name.strip(): value.strip() for name, _, value in (line.partition(":") for line in head.decode().split("\r\n")[1:])}
 
 
-def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and blocks of a gzip file of any number of members, inflated as it is read: one record is held at a time."""
-    inflate, held, fields, need = zlib.decompressobj(31), bytearray(), None, 0
-    while True:
-        raw = source.read(_READ)
-        more = bool(raw)
+def inflated(source: BinaryIO) -> Iterator[bytes]:
+    """The content of a gzip file of any number of members, in pieces of at most ``_PIECE`` bytes."""
+    inflate = zlib.decompressobj(31)
+    while raw := source.read(_READ):
         while raw:
-            held += inflate.decompress(raw)
-            raw = inflate.unused_data
-            if raw:
-                inflate = zlib.decompressobj(31)
+            yield inflate.decompress(raw, _PIECE)
+            if inflate.eof:
+                raw, inflate = inflate.unused_data, zlib.decompressobj(31)
+            else:
+                raw = inflate.unconsumed_tail
+
+
+def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and blocks of a gzip file of any number of members, inflated as it is read: one record and one piece are held at a time."""
+    held, fields, need = bytearray(), None, 0
+    for piece in inflated(source):
+        held += piece
         at = 0
         while True:
             if fields is None:
@@ -80,10 +87,8 @@ def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
             yield fields, bytes(held[at:at + need])
             at, fields = at + need + 4, None
         del held[:at]
-        if not more:
-            if fields is not None or held:
-                raise ValueError("the archive ends within a record")
-            return
+    if fields is not None or held:
+        raise ValueError("the archive ends within a record")
 
 
 def write_monolithic(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

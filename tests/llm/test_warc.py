@@ -85,3 +85,21 @@ def test_cut_archive_is_an_error():
 
 def test_empty(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_inflating_holds_one_piece_at_a_time(monkeypatch):
+    payloads = [b"", b"a" * (3 << 24), b"end"]
+    raw = b"".join(warc.record("response", str(at), {}, warc.http_block(payload)) for at, payload in enumerate(payloads))
+    whole = gzip.compress(raw)
+    assert len(whole) < 1 << 17
+    for file in (whole, gzip.compress(raw[:100]) + gzip.compress(raw[100:])):
+        assert max(map(len, warc.inflated(io.BytesIO(file)))) <= 1 << 22
+        assert b"".join(warc.inflated(io.BytesIO(file))) == raw
+        assert [block for _, block in warc.records(io.BytesIO(file))] == [warc.http_block(payload) for payload in payloads]
+    # Pieces and reads that end anywhere.
+    monkeypatch.setattr(warc, "_READ", 7)
+    monkeypatch.setattr(warc, "_PIECE", 11)
+    small = b"".join(warc.record("response", str(at), {}, warc.http_block(b"ab" * at)) for at in range(20))
+    assert [len(block) for _, block in warc.records(io.BytesIO(gzip.compress(small)))] == [len(warc.http_block(b"ab" * at)) for at in range(20)]
+    with pytest.raises(ValueError):
+        list(warc.records(io.BytesIO(gzip.compress(small[:-50]))))
