@@ -9,6 +9,7 @@ may be cut without changing the best path, so only the doubtful stretches are de
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -105,7 +106,13 @@ _HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 def shape(token: str) -> str:
     """The token's letters as ``A`` and ``a``, digits as ``9``, runs of one made one; other marks are kept."""
     raw = "".join(c if c < "\x80" else "a" if c.isalpha() else c for c in token.translate(_SHAPE))
-    return _RUNS.sub(r"\1", raw)[:24]
+    return _RUNS.sub(r"\1", raw)
+
+
+def _parted(name: str, value: str, most: int) -> tuple[str, ...]:
+    """A feature of the first ``most`` characters of ``value``, and one of a checksum of those beyond them, if there are any."""
+    rest = value[most:]
+    return (f"{name}={value[:most]}", f"{name}+{zlib.crc32(rest.encode('utf-8', 'surrogatepass')) % 64}") if rest else (f"{name}={value}",)
 
 
 def token_class(token: str) -> tuple[str, ...]:
@@ -125,8 +132,8 @@ def token_class(token: str) -> tuple[str, ...]:
     size = "short" if len(token) < 8 else "middle" if len(token) < 16 else "long"
     mixed = str(bool(letters and digits))
     return (
-        "shape=" + outline, "digits=" + amount, "size=" + size, f"mixed={mixed},{size}", "cue=" + cue, "hex=" + str(bool(_HEX.search(token))),
-        "has=" + "".join(c for c in "@=:/._-()[]+%$," if c in token), "assign=" + (re.match(r"(\w+)[=:]\S", lowered) or [""])[0][:-2][:10] if "=" in token or ":" in token else "assign=",
+        *_parted("shape", outline, 24), "digits=" + amount, "size=" + size, f"mixed={mixed},{size}", "cue=" + cue, "hex=" + str(bool(_HEX.search(token))),
+        "has=" + "".join(c for c in "@=:/._-()[]+%$," if c in token), *_parted("assign", (re.match(r"(\w+)[=:]\S", lowered) or [""])[0][:-2] if "=" in token or ":" in token else "", 10),
     )
 
 

@@ -107,3 +107,12 @@ def test_long_runs_of_zeros_are_no_error():
     text = "0" * 5000 + ".1.1.1"
     assert ("ip", 0, len(text)) in pii.base_spans(f"{text}")
     assert not [span for span in pii.base_spans("0" * 5000 + "256.1.1.1") if span[0] == "ip"]
+
+
+def test_features_tell_long_tokens_apart():
+    head = "a9-" * 12
+    one, other = pii.token_class(head + "x_1"), pii.token_class(head + "x_1_2=3")
+    assert one != other and set(one) & set(other)
+    assert pii.token_class("a9-b8") == pii.token_class("c7-d6")
+    names = [pii.token_class(f"{'n' * 12}{tail}=5") for tail in ("abc", "xyz")]
+    assert names[0] != names[1]
