@@ -155,6 +155,7 @@ def contamination(
     word is hit when it lies in an occurrence of a window, so a document is contaminated when any is.
     ``item_ids`` names the items with a window that occurs; items without an id mark words but are not named.
     Equal items, and rows of equal id and text, are each reported alike. Empty tables give no hits.
+    Very long texts are searched whole, one array of words to a row. Other columns are ignored, whatever their names.
     """
     found = _contamination(documents, benchmark, id_column, text_column, item_column, item_text_column, window, bits)
     return found.drop("_mark").withColumnRenamed("_id", id_column)

@@ -155,6 +155,7 @@ def pack(
     A document is its text's ids and the end id; null texts count as empty, so they are one id. Each id lies
     in one piece; sequences are filled from 0 without a gap, and all but one to the end. ``padded_length`` is
     ``window``, or what the last sequence holds where that is a power of two. Rows that repeat are packed each.
+    Very long texts become many pieces, and an empty table gives none. Other columns are ignored, whatever their names.
     """
     spark = documents.sparkSession
     cut = staged(cut_texts(documents, id_column, text_column, window, tokenizer), "tails")

@@ -349,7 +349,8 @@ def find(documents: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     Starts and stops are code points, the stop exclusive. ``base`` has the matches of the fixed patterns that
     pass their checks, leftmost and without overlap within a kind, by kind and start. ``added`` has the field's spans that
-    overlap none of them. Null and empty texts have neither; rows that repeat give equal rows.
+    overlap none of them. Null and empty texts have neither; rows that repeat give equal rows, and an empty table
+    none. Very long texts are searched whole. Other columns are ignored, whatever their names.
     """
     model = train()
     own, before, after, moves = model.own, model.before, model.after, model.moves

@@ -150,7 +150,11 @@ def fit(rows: np.ndarray, labels: np.ndarray, trees: int = TREES, depth: int = D
 
 
 def measured(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``_id`` and ``_values`` (the statistics) of every row of ``documents``. The text is read once for fitting and scoring."""
+    """``_id`` and ``_values`` (the statistics) of every row of ``documents``. The text is read once for fitting and scoring.
+
+    Null and empty texts have the statistics of no words, very long ones are measured whole, rows that repeat have a
+    row each, and an empty table has none. Other columns are ignored, whatever their names.
+    """
     ready(documents.sparkSession)
     return documents.select(
         F.col(f"`{id_column}`").alias("_id"), statistics_column(F.col(f"`{text_column}`")).alias("_values"),

@@ -234,7 +234,11 @@ def _read_file(path: str, start: int, table: tuple[np.ndarray, np.ndarray], dept
 def round_trip(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None, *, file_ids: int = FILE_IDS,
 ) -> DataFrame:
-    """Write the token files of ``documents`` to a fresh shared folder and read them back, a row for each document."""
+    """Write the token files of ``documents`` to a fresh shared folder and read them back, a row for each document.
+
+    A null or empty text is its end id alone, very long texts are encoded whole, rows that repeat are written each, and
+    an empty table gives no rows. Other columns are ignored, whatever their names.
+    """
     spark = documents.sparkSession
     folder = run_folder(spark, "token-files")
     files = write_files(documents, folder, id_column, text_column, tokenizer, file_ids=file_ids)

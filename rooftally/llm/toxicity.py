@@ -300,7 +300,10 @@ def learn(
     documents: DataFrame, labels: DataFrame, label: str = "toxic", *, allowed: Column | None = None,
     fit_documents: int = FIT_DOCUMENTS, epochs: int = EPOCHS,
 ) -> ToxicityModel:
-    """A model fitted to at most ``fit_documents`` labelled documents. ``allowed`` is a condition on ``_id`` of the labels."""
+    """A model fitted to at most ``fit_documents`` labelled documents. ``allowed`` is a condition on ``_id`` of the labels.
+
+    Very long texts are cut into sentences whole. Other columns are ignored, whatever their names.
+    """
     allowed = F.lit(True) if allowed is None else allowed
     return fit(labelled_sample(documents, labels, label, allowed, fit_documents), epochs)
 

@@ -263,7 +263,12 @@ def archive(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
 
 def round_trip(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", *, least_bytes: int = 0) -> DataFrame:
-    """The records of ``pages`` as read back from their archives, with ids in their own type again."""
+    """The records of ``pages`` as read back from their archives, with ids in their own type again.
+
+    Null and empty html are equal payloads of no bytes. Of equal payloads the record with the largest id is the response,
+    and rows that repeat have a record each; a very long payload is one record, held whole by the task that writes or reads it.
+    An empty table gives no rows. Other columns are ignored, whatever their names.
+    """
     kind = pages.schema[id_column].dataType
     found = read_archives(_spread(archive(pages, id_column, url_column, html_column, least_bytes=least_bytes)))
     return found.withColumns({"page": F.col("page").cast(kind), "refers_to": F.col("refers_to").cast(kind)}).withColumnRenamed("page", id_column)

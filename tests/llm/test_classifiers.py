@@ -190,3 +190,11 @@ def test_noisy_or_by_hand():
                     clean *= 1 - 1 / (1 + np.exp(1.5 - sum(float(weights[f]) for f in found)))
                 sentence = []
         assert model.scorer().document(text) == pytest.approx(1 - clean, abs=1e-9)
+
+
+def test_statistics_of_odd_rows(documents, clashing):
+    rows = [(1, None), (1, ""), (2, "a few plain words."), (2, "other words, same id"), (3, "word " * 400_000), (3, "word " * 400_000)]
+    plain = sorted((r._id, list(r._values)) for r in quality.measured(documents(*rows)).collect())
+    assert sorted((r._id, list(r._values)) for r in quality.measured(clashing(documents(*rows))).collect()) == plain
+    assert len(plain) == len(rows) and plain[0] == plain[1] and plain[2] != plain[3] and plain[4] == plain[5]
+    assert quality.measured(documents(*rows).where("false")).count() == 0

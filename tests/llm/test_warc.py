@@ -103,3 +103,13 @@ def test_inflating_holds_one_piece_at_a_time(monkeypatch):
     assert [len(block) for _, block in warc.records(io.BytesIO(gzip.compress(small)))] == [len(warc.http_block(b"ab" * at)) for at in range(20)]
     with pytest.raises(ValueError):
         list(warc.records(io.BytesIO(gzip.compress(small[:-50]))))
+
+
+def test_empty_and_clashing_tables(spark, pages, clashing):
+    assert warc.round_trip(pages.where("false")).count() == 0
+    names = ("page_id", "record_type", "payload_bytes", "refers_to", "html")
+
+    def plain(df):
+        return sorted((tuple(row) for row in warc.round_trip(df).select(*names).collect()), key=repr)
+
+    assert plain(clashing(pages)) == plain(pages)
