@@ -49,8 +49,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region = (
         read_table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")
     )
-    # One file of one row group would be one task for all that follows.
-    priced = orders.repartition("o_orderkey").selectExpr(
+    # One file of one row group would be one task for all that follows. Without a number, so few bytes would be put together again.
+    priced = orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey").selectExpr(
         "*", "bigint(floor(if(o_orderkey % 2 = 0, 800000 + o_totalprice * 10, 3000 + o_totalprice / 60))) AS base"
     )
     return (
