@@ -18,7 +18,7 @@ from .functions.cells import cell_of
 from .functions.coerce import clean_floor, clean_price, clean_rooms, clean_size, clean_text
 from .functions.identity import price_bucket
 from .functions.screening import keyword_hit
-from .operators.batches import BATCH_COLUMN, assign_batches, batch_sizes, number_in_order
+from .operators.batches import BATCH_COLUMN, assign_batches, batch_sizes, number_written
 from .operators.dedup import copy_counts, keep_first, later_copies
 from .operators.metrics import (
     dedup_counts, normalizer_counts, reason_kind, rejects_by_kind, spam_counts, validator_counts,
@@ -52,6 +52,11 @@ def _stages(spark: SparkSession, sf_dir: str) -> NightlyStages:
     return nightly_stages([raw_feed(spark, sf_dir)])
 
 
+def _ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survivors, written in input order."""
+    return nightly_stages([raw_feed(spark, sf_dir)], in_order=True).unique
+
+
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 4) for name in names})
 
@@ -314,8 +319,7 @@ def incremental_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unique = _stages(spark, sf_dir).unique.select("id", SEQ_COLUMN)
-    return assign_batches(number_in_order(unique, SEQ_COLUMN, run_folder(spark, "batches")).rows)
+    return assign_batches(number_written(_ordered(spark, sf_dir)).rows)
 
 
 def document_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,8 +336,8 @@ def _document_schema(unique: DataFrame) -> T.StructType:
 
 def loaded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = run_folder(spark, "documents")
-    unique = _stages(spark, sf_dir).unique
-    load_documents(unique, target, _RUN)
+    unique = _ordered(spark, sf_dir)
+    load_documents(unique, target, _RUN, written=True)
     return spark.read.schema(_document_schema(unique)).json(slice_folder(target, _RUN))
 
 
@@ -366,7 +370,7 @@ class _FolderWriter:
 def document_writer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batches as a writer on the executors commits them."""
     folder = run_folder(spark, "committed")
-    load_documents(_stages(spark, sf_dir).unique, partial(_FolderWriter, folder), _RUN)
+    load_documents(_ordered(spark, sf_dir), partial(_FolderWriter, folder), _RUN, written=True)
     return spark.read.schema("run_id string, batch_id bigint, id string").json(folder)
 
 

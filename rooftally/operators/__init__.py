@@ -1,4 +1,4 @@
-from .batches import BATCH_COLUMN, NumberedRows, assign_batches, batch_sizes, number_in_order
+from .batches import BATCH_COLUMN, NumberedRows, assign_batches, batch_sizes, number_in_order, number_written, write_in_order
 from .dedup import copy_counts, deduplicate, keep_first, later_copies, with_fingerprint
 from .metrics import (
     dedup_counts, normalizer_counts, rejects_by_kind, reason_kind, spam_counts, validator_counts,
@@ -8,7 +8,7 @@ from .sigma import attach_stats, sigma_stats, sigma_thresholds, tag_outliers
 from .validate import Validated, judge, screen, validate
 
 __all__ = [
-    "BATCH_COLUMN", "NumberedRows", "assign_batches", "batch_sizes", "number_in_order",
+    "BATCH_COLUMN", "NumberedRows", "assign_batches", "batch_sizes", "number_in_order", "number_written", "write_in_order",
     "copy_counts", "deduplicate", "keep_first", "later_copies", "with_fingerprint",
     "dedup_counts", "normalizer_counts", "rejects_by_kind", "reason_kind", "spam_counts", "validator_counts",
     "Normalized", "normalize", "tag_normalized",

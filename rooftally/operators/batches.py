@@ -21,19 +21,20 @@ class NumberedRows:
     total: int
 
 
-def number_in_order(df: DataFrame, order: str | Sequence[str], folder: str) -> NumberedRows:
-    """Number all rows by their place in ``order``, using a sorted table written to ``folder``.
+def write_in_order(df: DataFrame, order: str | Sequence[str], folder: str) -> DataFrame:
+    """``df`` sorted by ``order`` and written to ``folder``, a file for each range; returns the table read back."""
+    order = [order] if isinstance(order, str) else list(order)
+    df.sort(*order).write.mode("overwrite").option("maxRecordsPerFile", 0).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def number_written(written: DataFrame) -> NumberedRows:
+    """Number the rows of a table of :func:`write_in_order` by their place in it.
 
-    The sort is range-partitioned and leaves one file per partition, in order.
     A row's number is the count of rows in earlier files plus its place in its
     own. The per-file counts come from file footers, and there are at most
     ``spark.sql.shuffle.partitions`` of them.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    spark = df.sparkSession
-    df.sort(*order).write.mode("overwrite").option("maxRecordsPerFile", 0).parquet(folder)
-
-    written = spark.read.schema(df.schema).parquet(folder)
     part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
     placed = written.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_place"))
 
@@ -42,7 +43,7 @@ def number_in_order(df: DataFrame, order: str | Sequence[str], folder: str) -> N
     for n in counts["n"].to_pylist():
         starts.append(total)
         total += n
-    offsets = spark.createDataFrame(
+    offsets = written.sparkSession.createDataFrame(
         pa.table({"_file": counts["_part"].cast(pa.int32()), "_start": pa.array(starts, pa.int64())})
     )
     rows = (
@@ -53,6 +54,11 @@ def number_in_order(df: DataFrame, order: str | Sequence[str], folder: str) -> N
     return NumberedRows(rows, total)
 
 
+def number_in_order(df: DataFrame, order: str | Sequence[str], folder: str) -> NumberedRows:
+    """Number all rows by their place in ``order``, using a sorted table written to ``folder``."""
+    return number_written(write_in_order(df, order, folder))
+
+
 def assign_batches(numbered: DataFrame, size: int = DOCUMENT_BATCH_LIMIT) -> DataFrame:
     """Rows with ``batch_id``, counted from 1: consecutive runs of ``size`` rows."""
     return numbered.withColumn(BATCH_COLUMN, F.expr(f"{INDEX_COLUMN} div {int(size)} + 1"))

@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.batches import write_in_order
 from ..operators.dedup import FINGERPRINT_COLUMN, keep_first, later_copies, with_fingerprint
 from ..operators.metrics import rejects_by_kind
 from ..operators.normalize import Normalized, split_normalized, tag_normalized
@@ -29,11 +30,12 @@ class NightlyStages:
     ``screened`` holds every input row, cleaned and spam-checked: the sources are
     parsed once, and statistics, verdicts and counts read only the columns they
     need from it. ``stats`` are written too, so those reported are those that
-    judged. ``unique`` holds the survivors, and is written when first asked for.
+    judged. ``unique`` holds the survivors, and is written when first asked for,
+    with ``in_order`` by :func:`write_in_order`, so that batches need no second copy.
     """
 
-    def __init__(self, sources: Sequence[DataFrame], folder: str) -> None:
-        self.folder = folder
+    def __init__(self, sources: Sequence[DataFrame], folder: str, in_order: bool = False) -> None:
+        self.folder, self.in_order = folder, in_order
         # Normalizing is row by row, so each source is cleaned under its own column types and the union is of clean rows.
         self.screened = stage(screen(ordered_union(*map(tag_normalized, sources))), f"{folder}/screened")
         self.normalized: Normalized = split_normalized(self.screened)
@@ -44,7 +46,8 @@ class NightlyStages:
 
     @cached_property
     def unique(self) -> DataFrame:
-        return stage(keep_first(self.fingerprinted, FINGERPRINT_COLUMN, SEQ_COLUMN), f"{self.folder}/unique")
+        first, path = keep_first(self.fingerprinted, FINGERPRINT_COLUMN, SEQ_COLUMN), f"{self.folder}/unique"
+        return write_in_order(first, SEQ_COLUMN, path) if self.in_order else stage(first, path)
 
     @property
     def duplicates(self) -> DataFrame:
@@ -71,8 +74,8 @@ class NightlyResult:
         discard(self.unique.sparkSession, self.folder)
 
 
-def nightly_stages(sources: Sequence[DataFrame], folder: str | None = None) -> NightlyStages:
-    return NightlyStages(sources, folder or run_folder(sources[0].sparkSession, "nightly"))
+def nightly_stages(sources: Sequence[DataFrame], folder: str | None = None, in_order: bool = False) -> NightlyStages:
+    return NightlyStages(sources, folder or run_folder(sources[0].sparkSession, "nightly"), in_order)
 
 
 def run_nightly(
@@ -84,13 +87,13 @@ def run_nightly(
     """Run everything. Both sinks read the written survivors, at the same time."""
     guard_size(batch_size)
     spark = sources[0].sparkSession
-    stages = nightly_stages(sources, folder)
+    stages = nightly_stages(sources, folder, in_order=documents is not None)
     folder, unique = stages.folder, stages.unique
 
     def to_documents() -> LoaderStats | None:
         if documents is None:
             return None
-        return load_documents(unique, documents, run_id, batch_size=batch_size, folder=f"{folder}/documents")
+        return load_documents(unique, documents, run_id, batch_size=batch_size, written=True)
 
     def to_warehouse() -> WarehouseStats | None:
         if warehouse_path is None and not warehouse_table:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.batches import (
-    BATCH_COLUMN, INDEX_COLUMN, assign_batches, batch_count, number_in_order,
+    BATCH_COLUMN, INDEX_COLUMN, assign_batches, batch_count, number_written, write_in_order,
 )
 from ..schema import DOCUMENT_BATCH_LIMIT, SEQ_COLUMN
 from ..staging import discard, run_folder
@@ -94,6 +94,7 @@ def _whole_batches(batched: DataFrame) -> DataFrame:
 def load_documents(
     df: DataFrame, target: str | Callable[[], DocumentWriter], run_id: str,
     order: str = SEQ_COLUMN, batch_size: int = DOCUMENT_BATCH_LIMIT, folder: str | None = None,
+    written: bool = False,
 ) -> LoaderStats:
     """Commit all rows in batches of ``batch_size``, consecutive in ``order``.
 
@@ -102,13 +103,14 @@ def load_documents(
     ``run_id``: other runs stay, and repeating a run replaces its own slice, an
     empty repeat included. A retried task commits its batches again under the same
     run and batch ids, so a writer should upsert. ``folder`` holds the sorted copy;
-    by default a fresh one in the shared folder, removed at the end.
+    by default a fresh one in the shared folder, removed at the end. With ``written``,
+    ``df`` is itself a table that ``write_in_order`` wrote in this order, and is not copied.
     """
     started = time.monotonic()
     guard_size(batch_size)
     spark = df.sparkSession
-    scratch = folder or run_folder(spark, "documents")
-    numbered = number_in_order(df, order, scratch)
+    scratch = None if written else folder or run_folder(spark, "documents")
+    numbered = number_written(df if written else write_in_order(df, order, scratch))
     batched = assign_batches(numbered.rows, batch_size)
     if isinstance(target, str):
         replace_slice(batched.drop(INDEX_COLUMN, order), target, run_id, "json")
@@ -120,6 +122,6 @@ def load_documents(
         total, batches = commits.agg(F.sum("n_documents"), F.count(F.lit(1))).first()
     else:
         total, batches = 0, 0
-    if folder is None:
+    if folder is None and scratch is not None:
         discard(spark, scratch)
     return LoaderStats(total, batches, round(time.monotonic() - started, 3) if total else 0.0)

@@ -85,6 +85,16 @@ def test_sources_are_scanned_once_a_run(spark, sf_dir, tmp_path):
         assert "orders.parquet" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_survivors_for_documents_are_written_once(spark, sf_dir, tmp_path):
+    """In input order, so that the batches follow it and no sorted copy is made."""
+    folder = tmp_path / "stages"
+    result = run_nightly([raw_feed(spark, sf_dir)], "r1", folder=str(folder), documents=str(tmp_path / "docs"))
+    assert sorted(path.name for path in folder.iterdir()) == ["screened", "stats", "unique"]
+    in_order = [r.id for r in spark.read.parquet(str(folder / "unique")).orderBy("_seq").select("id").collect()]
+    batches = {r.id: r.batch_id for r in spark.read.json(str(tmp_path / "docs")).collect()}
+    assert [batches[id] for id in in_order] == [1 + at // 400 for at in range(result.counts["unique"])]
+
+
 def test_result_does_not_depend_on_partitioning(spark, sf_dir):
     feed = raw_feed(spark, sf_dir)
     assert _ids(nightly_stages([feed.repartition(1)]).unique) == _ids(nightly_stages([feed.repartition(13)]).unique)
