@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -57,6 +58,38 @@ def test_json_records(spark, tmp_path):
     assert (counts.input_count, counts.output_count) == (9, 4)
 
 
+def test_records_of_every_kind(spark, tmp_path):
+    """Kinds are told apart by what is kept of a field: absent, null, text, numbers, booleans, nested values."""
+    values = [None, "5", "", 5, -2.5, 2**70, 1e300, True, [1, "a"], {"b": None}]
+    _write(tmp_path / "in", "a.json", [{**GOOD, "id": v, "size_sqm": "bad"} for v in values] + [{**_without("id"), "size_sqm": "bad"}])
+    scanned = scan_json(spark, str(tmp_path / "in"), 0)
+    tagged = normalize(scanned).tagged.orderBy("_seq").collect()
+    assert [r["id"] for r in tagged] == [
+        "", "5", "", "5", "-2.5", str(2**70), "1e+300", "True", '[1,"a"]', '{"b":null}', "",
+    ]
+    raws = [json.loads(r["_raw"]) for r in tagged]
+    assert [raw["id"] for raw in raws[:-1]] == values and "id" not in raws[-1]
+
+
+def test_fields_are_opened_in_one_step(spark, tmp_path):
+    """Each mention of a VARIANT copies it, and each further step copies all that was opened."""
+    _write(tmp_path / "in", "a.json", [GOOD])
+    plan = scan_json(spark, str(tmp_path / "in"), 0)._jdf.queryExecution().executedPlan().toString()
+    opening = [line for line in plan.splitlines() if ".spelled" in line or "SchemaOfVariant" in line]
+    assert len(opening) == 1
+    assert opening[0].count("SchemaOfVariant.schemaOfVariant(") == len(LISTING_COLUMNS)
+    assert "regexp" not in opening[0] and "isnull" not in opening[0]
+
+
+def test_cleaning_of_records_is_not_fused(spark, tmp_path):
+    """Fused into one method the cleaning of opened fields would be beyond what the JVM takes; see ``session.RUNTIME``."""
+    _write(tmp_path / "in", "a.json", [GOOD])
+    tagged = normalize(scan_json(spark, str(tmp_path / "in"), 0)).tagged
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    cleaning = re.findall(r"(\*\(\d+\) )?Project \[coalesce\(.*\.kind = STR", plan)
+    assert cleaning == [""]
+
+
 def test_output_schema(spark, tmp_path):
     _write(tmp_path / "in", "a.json", [GOOD])
     clean = normalize(scan_json(spark, str(tmp_path / "in"), 0)).clean.select(*LISTING_COLUMNS)
