@@ -15,7 +15,7 @@ from rooftally.operators import keep_first, tag_normalized
 from rooftally.plans import nightly, nightly_stages, raw_feed, raw_sources, run_nightly
 from rooftally.schema import LISTING_COLUMNS
 from rooftally.staging import run_folder, shared_folder
-from rooftally.streaming import run_available
+from rooftally.streaming import incremental, run_available
 from tools.check_oracles import TABLES, rows_of
 
 
@@ -141,6 +141,18 @@ def test_incremental_run_takes_only_new_files(spark, tmp_path):
     assert _ids(spark.read.parquet(table)) == ["a1", "a2", "a9", "b3"]
 
 
+def test_incremental_run_scans_files_and_not_the_streams_rows(spark, tmp_path, monkeypatch):
+    """Names that look like patterns are taken as they are, and the scan is in the plan, so that it can be optimized."""
+    plans = []
+    monkeypatch.setattr(incremental, "nightly_stages", lambda scans, folder: plans.extend(map(_plan, scans)) or nightly_stages(scans, folder))
+    table, progress = str(tmp_path / "table"), str(tmp_path / "progress")
+    _land(tmp_path / "a", "1[x]{y}.json", ["a1", "a2"])
+    _land(tmp_path / "a", "1x.json", ["a3"])
+    run_available(spark, [str(tmp_path / "a")], table, progress)
+    assert _ids(spark.read.parquet(table)) == ["a1", "a2", "a3"]
+    assert len(plans) == 1 and "FileScan json" in plans[0] and "ExistingRDD" not in plans[0]
+
+
 def test_shared_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
